@@ -301,10 +301,9 @@ def history_leaves() -> list:
     strftime(event_time, '%Y-%m-%dT%H:%M:%S') AS time_text, {', '.join(r(e, n) for e, n in BASE_SQL + HISTORY + CYCLE_SQL + TARGET_SQL)},
     {FLAGS_SQL}, CAST({SAMPLES_SQL} AS INTEGER) AS samples_accumulated FROM obs"""))
 def engineer_features(spark, sf_dir):
-    f = feature_records(spark, sf_dir).select(
+    return rounded(feature_records(spark, sf_dir).select(
         "id", "location.*", F.col("timestamp").alias("time_text"), "base_features.*", *history_leaves(),
-        "cyclical_features.*", "target_labels.*", "metadata.samples_accumulated")
-    return rounded(as_double(f, [n for n, t in f.dtypes if "_delta_" in n or "_lag_" in n]))
+        "cyclical_features.*", "target_labels.*", "metadata.samples_accumulated"))
 
 
 @query("history_summary", with_obs("""SELECT location, count(*) AS samples, 168 AS max_capacity, min(temperature) AS temp_min,

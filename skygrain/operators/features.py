@@ -68,7 +68,7 @@ def with_time_windows(df: DataFrame, keys: Sequence[str], time: str, hours: Sequ
 
 
 def _group(prefix: str, names: Sequence[str]) -> Column:
-    return F.struct(*[F.col(f"{prefix}_{n}").alias(n) for n in names])
+    return F.struct(*[F.col(f"{prefix}_{n}").cast("double").alias(n) for n in names])
 
 
 def nested_history() -> Column:

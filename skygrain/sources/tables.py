@@ -17,7 +17,8 @@ HOURLY_NAMES = {
 
 def explode_hourly(df: DataFrame, keep: Sequence[str] = (), sort: bool = False) -> DataFrame:
     """A struct of parallel arrays to one row per hour, renamed, with a parsed time."""
-    zipped = F.arrays_zip(F.col("hourly.time"), *[F.col(f"hourly.{c}") for c in HOURLY_NAMES.values()])
+    arrays = [F.coalesce(F.col(f"hourly.{c}"), F.array()).alias(c) for c in HOURLY_NAMES.values()]
+    zipped = F.arrays_zip(F.col("hourly.time"), *arrays)
     rows = df.select(*keep, F.inline(zipped).alias("time", *HOURLY_NAMES.values()))
     out = rows.select(
         *keep, F.col("time").cast("timestamp_ntz").alias("timestamp"),
