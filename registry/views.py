@@ -129,7 +129,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 PRED = """pred AS (
   SELECT o_orderkey AS id, o_orderdate AS event_time,
     CAST(CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 6 END AS INTEGER) AS horizon_hours,
-    o_totalprice / 20000.0 AS temperature_prediction,
+    o_totalprice / 25000.0 AS temperature_prediction,
     o_orderdate + to_seconds(CAST((o_custkey * 7 + o_orderkey) % 86400 AS INTEGER)) AS created_at
   FROM orders)"""
 
@@ -141,7 +141,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("id"),
         F.col("o_orderdate").alias("event_time"),
         F.when(k % 3 == 0, 1).when(k % 3 == 1, 3).otherwise(6).alias("horizon_hours"),
-        (F.col("o_totalprice") / 20000.0).alias("temperature_prediction"),
+        (F.col("o_totalprice") / 25000.0).alias("temperature_prediction"),
         (F.col("o_orderdate") + F.make_dt_interval(secs=((F.col("o_custkey") * 7 + k) % 86400))).alias("created_at"),
     )
 

@@ -89,16 +89,18 @@ def alert_history(history: DataFrame, new: DataFrame, position: str) -> DataFram
     which includes alerts of the same check. Those five messages are the state of a fold over one check's alerts,
     whose number is bounded by topics and features, never by data rows. The history itself is only read top-k.
     """
-    recent = (
-        history.orderBy(F.desc(position)).limit(RECENT_ALERTS)
-        .agg(F.array_sort(F.collect_list(F.struct((-F.col(position)).alias("k"), "message"))).alias("r"))
-        .select(F.col("r.message").alias("r")).scalar()
-    )
-    arrivals = new.agg(F.array_sort(F.collect_list(F.struct(F.col(position).alias("k"), "message"))).alias("n"))
-    empty = F.struct(
-        F.coalesce(recent, F.array().cast("array<string>")).alias("top"), F.array().cast("array<bigint>").alias("kept")
+    newest = history.orderBy(F.desc(position)).limit(RECENT_ALERTS)
+    both = newest.select((-F.col(position)).alias("k"), "message", F.lit(False).alias("fresh")).unionByName(
+        new.select(F.col(position).alias("k"), "message", F.lit(True).alias("fresh"))
     )
 
+    def in_order(fresh: bool) -> Column:
+        mine = F.when(F.col("fresh") == fresh, F.struct("k", "message"))
+        return F.array_sort(F.collect_list(mine))
+
+    arrivals = both.agg(in_order(False)["message"].alias("top"), in_order(True).alias("n"))
+    empty = F.struct("top", F.array().cast("array<bigint>").alias("kept"))
+
     def step(state: Column, a: Column) -> Column:
         fresh = ~F.array_contains(state["top"], a["message"])
         return F.struct(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skygrain.functions import values as V
-from skygrain.sources.contracts import conforms, fill_defaults
+from skygrain.sources.contracts import conforms, fill_defaults, parse_once
 from skygrain.sources.schemas import RAW, RAW_REQUIRED_KEYS, UNIT_DEFAULTS, nullable
 
 
@@ -96,11 +96,6 @@ def normalize(raw: DataFrame) -> DataFrame:
 def parse_raw(messages: DataFrame, value: str = "value") -> DataFrame:
     """Keyed JSON messages to typed raw rows; messages without the required keys are dropped."""
     keep = [c for c in messages.columns if c != value]
-    record = F.from_json(F.col(value), nullable(RAW))
-    return (
-        messages.filter(has_required_keys(F.col(value)))
-        .withColumn("_r", record)
-        .select(*keep, "_r")
-        .select(*keep, fill_defaults("raw", "_r").alias("_r"))
-        .select(*keep, "_r.*")
-    )
+    present = messages.filter(has_required_keys(F.col(value)))
+    parsed = parse_once(present, F.from_json(F.col(value), nullable(RAW)).alias("_r"))
+    return parsed.select(*keep, fill_defaults("raw", "_r").alias("_r")).select(*keep, "_r.*")

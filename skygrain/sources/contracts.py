@@ -65,7 +65,7 @@ def check_contract(df: DataFrame, contract: str, value: str = "value") -> DataFr
     defaulted = DEFAULTED.get(contract, ())
     parse = T.StructType([*nullable(schema).fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(value, parse, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = df.withColumn("_r", parsed).withColumn("_v", F.try_parse_json(value))
+    out = parse_once(df, parsed.alias("_r"), F.try_parse_json(value).alias("_v"))
     reason = (
         F.when(F.col("_v").isNull() | F.col("_r").isNull(), "not json")
         .when(F.col(f"_r.{CORRUPT}").isNotNull() | ~_strings_are_strings(schema, F.col("_v")), "wrong type")
@@ -77,17 +77,30 @@ def check_contract(df: DataFrame, contract: str, value: str = "value") -> DataFr
     return out.withColumn(REASON, reason).withColumn("record", fill_defaults(contract, "_r")).drop("_r", "_v")
 
 
+def parse_once(df: DataFrame, *columns: Column) -> DataFrame:
+    """Add parsed columns through a one-row generator.
+
+    The optimizer would otherwise copy the parser into every later expression that reads one of its fields.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
+
+
 def fill_defaults(contract: str, root: str) -> Column:
     """The parsed record with contract defaults in place of absent fields."""
-    col = F.col(root).dropFields(CORRUPT)
-    if contract in DEFAULTED:
-        col = col.withField(
-            "hourly.pressure_msl", F.coalesce(F.col(f"{root}.hourly.pressure_msl"), F.array().cast("array<double>"))
-        )
-    if contract == "raw":
-        for name, unit in UNIT_DEFAULTS.items():
-            col = col.withField(f"current_units.{name}", F.coalesce(F.col(f"{root}.current_units.{name}"), F.lit(unit)))
-    return col
+
+    def field(path: str, f: T.StructField) -> Column:
+        col = F.col(f"{root}.{path}")
+        if path in DEFAULTED.get(contract, ()):
+            return F.coalesce(col, F.array().cast(f.dataType)).alias(f.name)
+        if contract == "raw" and path.startswith("current_units."):
+            return F.coalesce(col, F.lit(UNIT_DEFAULTS[f.name])).alias(f.name)
+        holds_default = isinstance(f.dataType, T.StructType) and path in ("current_units", "hourly")
+        if holds_default:
+            inner = F.struct(*[field(f"{path}.{g.name}", g) for g in f.dataType.fields])
+            return F.when(col.isNotNull(), inner).alias(f.name)
+        return col.alias(f.name)
+
+    return F.struct(*[field(f.name, f) for f in CONTRACTS[contract].fields])
 
 
 def validate_contract(df: DataFrame, contract: str, value: str = "value") -> tuple[DataFrame, DataFrame]:
