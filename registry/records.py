@@ -36,7 +36,7 @@ def json_messages(spark, sf_dir) -> DataFrame:
 
 SOUND = "id % 8 IN (0, 3)"
 REASON = """CASE id % 8 WHEN 1 THEN 'missing field' WHEN 2 THEN 'wrong type' WHEN 4 THEN 'wrong type' WHEN 5 THEN 'wrong type'
-    WHEN 6 THEN 'not json' WHEN 7 THEN 'missing field' END"""
+    WHEN 6 THEN 'not json' WHEN 7 THEN 'wrong type' END"""
 
 
 @query("require_fields", f"WITH {OBS} SELECT id, id % 8 NOT IN (1, 6) AS has_fields FROM obs")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skygrain.functions import values as V
-from skygrain.sources.contracts import conforms, fill_defaults, parse_once
+from skygrain.sources.contracts import conforms, parse_once
 from skygrain.sources.schemas import RAW, RAW_REQUIRED_KEYS, UNIT_DEFAULTS, nullable
 
 
@@ -98,4 +98,4 @@ def parse_raw(messages: DataFrame, value: str = "value") -> DataFrame:
     keep = [c for c in messages.columns if c != value]
     present = messages.filter(has_required_keys(F.col(value)))
     parsed = parse_once(present, F.from_json(F.col(value), nullable(RAW)).alias("_r"))
-    return parsed.select(*keep, fill_defaults("raw", "_r").alias("_r")).select(*keep, "_r.*")
+    return parsed.select(*keep, "_r.*")

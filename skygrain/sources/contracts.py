@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from skygrain.sources.schemas import CONTRACTS, DEFAULTED, UNIT_DEFAULTS, nullable
+from skygrain.sources.schemas import CONTRACTS, DEFAULTED, UNIT_DEFAULTS
 
 CORRUPT = "_corrupt"
 REASON = "reject_reason"
@@ -21,38 +21,75 @@ def _walk(schema: T.StructType, prefix: str = "", always: bool = True) -> Iterat
             yield from _walk(f.dataType, f"{path}.", always and not f.nullable)
 
 
-def required_present(schema: T.StructType, root: str = "", optional: tuple[str, ...] = ()) -> Column:
+def required_present(schema: T.StructType, root: str = "") -> Column:
     """True when every required field is there: not null wherever its parent record is not null."""
     ok = F.lit(True)
     for path, field, _ in _walk(schema):
         col = F.col(f"{root}{path}")
         parent = path.rpartition(".")[0]
         here = F.lit(True) if not parent else F.col(f"{root}{parent}").isNotNull()
-        if not field.nullable and path not in optional:
+        if not field.nullable:
             ok = ok & (~here | col.isNotNull())
         if isinstance(field.dataType, T.ArrayType) and not field.dataType.containsNull:
             ok = ok & ~F.coalesce(F.exists(col, lambda x: x.isNull()), F.lit(False))
     return ok
 
 
-def _strings_are_strings(schema: T.StructType, variant: Column) -> Column:
-    """A JSON parser turns any value into text, so text fields are checked on the typed (variant) form."""
+def _strict(dtype: T.DataType, path: str, defaulted: tuple[str, ...]) -> T.DataType:
+    """The type to parse with: a JSON parser turns any value into text, so text is parsed as a typed variant."""
+    if isinstance(dtype, T.StructType):
+        at = f"{path}." if path else ""
+        return T.StructType([T.StructField(f.name, _strict(f.dataType, f"{at}{f.name}", defaulted)) for f in dtype.fields])
+    if path in defaulted or isinstance(dtype, T.StringType):
+        return T.VariantType()
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_strict(dtype.elementType, f"{path}[]", defaulted))
+    return dtype
+
+
+def _typed(dtype: T.DataType, col: Column) -> Column:
+    """A strictly parsed column as its contract type."""
+    return F.try_variant_get(col, "$", dtype.simpleString())
+
+
+def _well_typed(schema: T.StructType, root: str, defaulted: tuple[str, ...]) -> Column:
+    """Text is text, and a field with a default is absent or a list of numbers (an explicit null is invalid)."""
     ok = F.lit(True)
     for path, field, _ in _walk(schema):
-        here = F.schema_of_variant(F.try_variant_get(variant, f"$.{path}", "variant"))
-        if isinstance(field.dataType, T.StringType):
-            ok = ok & F.coalesce(here.isin("STRING", "VOID"), F.lit(True))
+        col = F.col(f"{root}.{path}")
+        if path in defaulted:
+            ok = ok & F.coalesce(F.schema_of_variant(col).rlike(r"^ARRAY<(DOUBLE|BIGINT|DECIMAL.*|VOID)>$"), F.lit(True))
+        elif isinstance(field.dataType, T.StringType):
+            ok = ok & F.coalesce(F.schema_of_variant(col).isin("STRING", "VOID"), F.lit(True))
         elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
-            ok = ok & F.coalesce(here.isin("ARRAY<STRING>", "ARRAY<VOID>", "VOID"), F.lit(True))
+            texts = F.forall(col, lambda x: F.coalesce(F.schema_of_variant(x) == "STRING", F.lit(False)))
+            ok = ok & F.coalesce(texts, F.lit(True))
     return ok
 
 
-def _explicit_nulls(paths: tuple[str, ...], variant: Column) -> Column:
-    found = F.lit(False)
-    for path in paths:
-        at = F.try_variant_get(variant, f"$.{path}", "variant")
-        found = found | F.coalesce(F.is_variant_null(at), F.lit(False))
-    return found
+def _record(contract: str, root: str) -> Column:
+    """The strictly parsed record in contract types, defaults filled."""
+    defaulted = DEFAULTED.get(contract, ())
+
+    def field(path: str, f: T.StructField) -> Column:
+        col = F.col(f"{root}.{path}")
+        if isinstance(f.dataType, T.StructType):
+            inner = F.struct(*[field(f"{path}.{g.name}", g) for g in f.dataType.fields])
+            return F.when(col.isNotNull(), inner).alias(f.name)
+        if path in defaulted:
+            parent = F.col(f"{root}.{path.rpartition('.')[0]}")
+            filled = F.coalesce(_typed(f.dataType, col), F.array().cast(f.dataType))
+            return F.when(parent.isNotNull(), filled).alias(f.name)
+        if isinstance(f.dataType, T.StringType):
+            text = _typed(f.dataType, col)
+            if contract == "raw" and path.startswith("current_units."):
+                text = F.coalesce(text, F.lit(UNIT_DEFAULTS[f.name]))
+            return text.alias(f.name)
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
+            return F.transform(col, lambda x: _typed(T.StringType(), x)).alias(f.name)
+        return col.alias(f.name)
+
+    return F.struct(*[field(f.name, f) for f in CONTRACTS[contract].fields])
 
 
 def check_contract(df: DataFrame, contract: str, value: str = "value") -> DataFrame:
@@ -61,20 +98,18 @@ def check_contract(df: DataFrame, contract: str, value: str = "value") -> DataFr
     Extra fields are allowed, defaults are filled, whole numbers are accepted for doubles, and a fraction is not
     accepted for an integer.
     """
-    schema = CONTRACTS[contract]
-    defaulted = DEFAULTED.get(contract, ())
-    parse = T.StructType([*nullable(schema).fields, T.StructField(CORRUPT, T.StringType())])
+    schema, defaulted = CONTRACTS[contract], DEFAULTED.get(contract, ())
+    parse = T.StructType([*_strict(schema, "", defaulted).fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(value, parse, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = parse_once(df, parsed.alias("_r"), F.try_parse_json(value).alias("_v"))
+    out = parse_once(df, parsed.alias("_r")).withColumn("record", _record(contract, "_r"))
+    corrupt = F.col(f"_r.{CORRUPT}")
+    # Only a rejected record is parsed again, to tell broken JSON from a value of the wrong type.
     reason = (
-        F.when(F.col("_v").isNull() | F.col("_r").isNull(), "not json")
-        .when(F.col(f"_r.{CORRUPT}").isNotNull() | ~_strings_are_strings(schema, F.col("_v")), "wrong type")
-        .when(
-            ~required_present(schema, "_r.", defaulted) | _explicit_nulls(defaulted, F.col("_v")),
-            "missing field",
-        )
+        F.when(F.col("_r").isNull() | (corrupt.isNotNull() & F.try_parse_json(value).isNull()), "not json")
+        .when(corrupt.isNotNull() | ~_well_typed(schema, "_r", defaulted), "wrong type")
+        .when(~required_present(schema, "record."), "missing field")
     )
-    return out.withColumn(REASON, reason).withColumn("record", fill_defaults(contract, "_r")).drop("_r", "_v")
+    return out.withColumn(REASON, reason).drop("_r")
 
 
 def parse_once(df: DataFrame, *columns: Column) -> DataFrame:
@@ -85,24 +120,6 @@ def parse_once(df: DataFrame, *columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*columns))))
 
 
-def fill_defaults(contract: str, root: str) -> Column:
-    """The parsed record with contract defaults in place of absent fields."""
-
-    def field(path: str, f: T.StructField) -> Column:
-        col = F.col(f"{root}.{path}")
-        if path in DEFAULTED.get(contract, ()):
-            return F.coalesce(col, F.array().cast(f.dataType)).alias(f.name)
-        if contract == "raw" and path.startswith("current_units."):
-            return F.coalesce(col, F.lit(UNIT_DEFAULTS[f.name])).alias(f.name)
-        holds_default = isinstance(f.dataType, T.StructType) and path in ("current_units", "hourly")
-        if holds_default:
-            inner = F.struct(*[field(f"{path}.{g.name}", g) for g in f.dataType.fields])
-            return F.when(col.isNotNull(), inner).alias(f.name)
-        return col.alias(f.name)
-
-    return F.struct(*[field(f.name, f) for f in CONTRACTS[contract].fields])
-
-
 def validate_contract(df: DataFrame, contract: str, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(valid rows with ``record``, rejected rows with ``reject_reason``)."""
     checked = check_contract(df, contract, value)
