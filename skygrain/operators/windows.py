@@ -37,13 +37,18 @@ def tumbling(df: DataFrame, hours: int, keys: Sequence[str] = PLACE, time: str =
     Sums are combined before the shuffle, so a hot place costs no more than its number of windows. Pass ``watermark``
     on a stream (required for append output).
     """
-    src = df.withWatermark(time, watermark) if watermark else df
+    src = watermarked(df, time, watermark) if watermark else df
     agg = src.groupBy(*keys, F.window(time, f"{hours} hours")).agg(*window_aggregates(hours, arrival, hours == 1))
     rest = [c for c in agg.columns if c not in (*keys, "window")]
     bounds = [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
     return agg.select(*keys, *(["window"] if keep_window else []), *bounds, *rest)
 
 
+def watermarked(df: DataFrame, time: str, watermark: str) -> DataFrame:
+    """Set the watermark; Spark wants an instant there, so a wall-clock time is read in the session time zone."""
+    return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
+
+
 def containing(time: Column, hours: int) -> Column:
     """Start of the epoch-aligned window of ``hours`` that holds ``time``."""
     return F.window(time, f"{hours} hours")["start"]

@@ -89,7 +89,8 @@ def _borrowed(ranges: DataFrame, offsets: DataFrame, keys: Sequence[str], order:
     edge = Window.partitionBy(*keys, PART).orderBy(*[F.desc(c) if earlier else F.asc(c) for c in order])
     span = chain.rowsBetween(1, reach) if earlier else chain.rowsBetween(-reach, -1)
     targets = (
-        offsets.withColumn("_t", F.explode(F.collect_list(F.struct(PART, "_start", "_n")).over(span)))
+        offsets.withColumn("_near", F.collect_list(F.struct(PART, "_start", "_n")).over(span))
+        .withColumn("_t", F.explode("_near"))
         .select(
             *keys,
             PART,

@@ -13,7 +13,7 @@ from skygrain.operators.dataset import flatten_features
 from skygrain.operators.features import assemble_features, contract_features, observations_of
 from skygrain.operators.normalize import normalize, parse_raw
 from skygrain.operators.serving import serve
-from skygrain.operators.windows import PLACE, tumbling
+from skygrain.operators.windows import PLACE, tumbling, watermarked
 from skygrain.sources.contracts import conforms
 from skygrain.sources.streams import as_messages, valid_records
 from skygrain.streaming.state import with_history
@@ -51,7 +51,7 @@ def windows_joined_stream(stream: DataFrame, watermark: str = "10 minutes", time
     Coarse windows are aggregated from the same stream, and the sides meet on place and the 6-hour window, which
     also bounds the join state by the watermark.
     """
-    src = stream.withWatermark(time, watermark)
+    src = watermarked(stream, time, watermark)
 
     def side(h: int) -> DataFrame:
         t = tumbling(src, h, time=time, arrival=arrival, keep_window=True)
