@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from skygrain.plans.durable import materialize
-from skygrain.plans.skew import PART, cut_ranges, hot_keys, split_by_key
+from skygrain.plans.skew import PART, TIE, cut_ranges, hot_keys, split_by_key
 
 # Largest change of each variable that still counts as unchanged.
 TOLERANCES = {
@@ -161,7 +161,7 @@ def _flag_whole(df: DataFrame, keys: Sequence[str], order: Sequence[str], tol: M
 
 def _flag_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], tol: Mapping[str, float]) -> DataFrame:
     ranges = cut_ranges(df, keys, order)
-    at = [*keys, PART]
+    at, order = [*keys, PART], [*order, TIE]
     names = list(tol)
     end_schema = T.StructType(
         [ranges.schema[k] for k in at] + [T.StructField(f"_end_{n}", T.DoubleType()) for n in names]
@@ -203,7 +203,7 @@ def _flag_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], tol:
         ends = materialize(kept.unionByName(redone), "dedup-ends")
     rows = with_starts(starts)
     plain = T.StructType([*ranges.schema.fields])
-    return rows.mapInArrow(_fold(at, tol, True, False), _flagged(plain)).drop(PART)
+    return rows.mapInArrow(_fold(at, tol, True, False), _flagged(plain)).drop(PART, TIE)
 
 
 def _equal(columns: Sequence[str]) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skygrain.plans.skew import PART, cut_ranges
+from skygrain.plans.skew import PART, TIE, cut_ranges
 
 
 def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -22,7 +22,7 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], measu
     for m in measures:
         sums = sums.withColumn(f"_{m}_start", F.coalesce(F.sum(f"_{m}").over(earlier_ranges), F.lit(0)))
         sums = sums.withColumn(f"{m}_total", F.sum(f"_{m}").over(whole))
-    local = Window.partitionBy(*by, PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = Window.partitionBy(*by, PART).orderBy(*order, TIE).rowsBetween(Window.unboundedPreceding, -1)
     cond = F.col(f"a.{PART}") == F.col(f"b.{PART}")
     for k in by:
         cond = cond & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))

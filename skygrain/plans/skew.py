@@ -17,6 +17,7 @@ HOT_ROWS_CONF = "spark.skygrain.hotGroupRows"
 HOT_ROWS = 2_000_000
 
 PART = "_range"
+TIE = "_tie"
 OWN = "_own_row"
 ROW_NO = "_row_no"
 GROUP_ROWS = "_group_rows"
@@ -57,9 +58,11 @@ def split_by_key(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[Da
 def cut_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Sort by (keys, order) over the cluster, note each row's range, and write the result.
 
-    The cut points are sampled, so the table is written before anything relies on the range numbers.
+    The cut points are sampled, so the table is written before anything relies on the range numbers. ``_tie`` makes
+    the order total: many copies of one row are spread over several ranges too.
     """
-    cut = df.repartitionByRange(*keys, *order).withColumn(PART, F.spark_partition_id())
+    numbered = df.withColumn(TIE, F.monotonically_increasing_id())
+    cut = numbered.repartitionByRange(*keys, *order, TIE).withColumn(PART, F.spark_partition_id())
     return materialize(cut, "ranges")
 
 
@@ -86,7 +89,7 @@ def _borrowed(ranges: DataFrame, offsets: DataFrame, keys: Sequence[str], order:
     Ranges are never empty, so the rows a range can reach lie in at most ``reach`` neighbours.
     """
     chain = Window.partitionBy(*keys).orderBy(PART)
-    edge = Window.partitionBy(*keys, PART).orderBy(*[F.desc(c) if earlier else F.asc(c) for c in order])
+    edge = Window.partitionBy(*keys, PART).orderBy(*[F.desc(c) if earlier else F.asc(c) for c in (*order, TIE)])
     span = chain.rowsBetween(1, reach) if earlier else chain.rowsBetween(-reach, -1)
     targets = (
         offsets.withColumn("_near", F.collect_list(F.struct(PART, "_start", "_n")).over(span))
@@ -118,7 +121,8 @@ def ordered_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], build
     """Apply ``build(rows, window)`` to each key's rows in ``order``.
 
     ``build`` may add columns that look at most ``back`` rows back and ``ahead`` rows ahead. With ``numbered`` it
-    also sees ``_row_no`` (1-based position) and ``_group_rows`` (rows of the key). ``order`` must be unique per key.
+    also sees ``_row_no`` (1-based position) and ``_group_rows`` (rows of the key). ``order`` should be unique per key;
+    rows that tie in it come in any order.
     """
     hot = hot_keys(df, keys)
     if hot is None:
@@ -150,13 +154,13 @@ def _range_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], bui
         if reach:
             copies = _borrowed(ranges, offsets, keys, order, reach, earlier).withColumn(OWN, F.lit(False))
             rows = rows.unionByName(copies, allowMissingColumns=numbered)
-    built = build(rows, Window.partitionBy(*keys, PART).orderBy(*order))
-    return built.filter(OWN).drop(OWN, PART, ROW_NO, GROUP_ROWS)
+    built = build(rows, Window.partitionBy(*keys, PART).orderBy(*order, TIE))
+    return built.filter(OWN).drop(OWN, PART, TIE, ROW_NO, GROUP_ROWS)
 
 
 def number_rows(ranges: DataFrame, offsets: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Position of each row within its key, from range offsets and the position within the range."""
-    local = Window.partitionBy(*keys, PART).orderBy(*order)
+    local = Window.partitionBy(*keys, PART).orderBy(*order, TIE)
     cond = _same_key("a", "b", keys) & (F.col(f"a.{PART}") == F.col(f"b.{PART}"))
     return (
         ranges.withColumn("_local", F.row_number().over(local))

@@ -13,6 +13,7 @@ def local_session(cores: str = "8", name: str = "skygrain") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no stack trace per column expression
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

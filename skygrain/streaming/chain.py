@@ -12,7 +12,7 @@ from skygrain.functions.values import location_text
 from skygrain.operators.dataset import flatten_features
 from skygrain.operators.features import assemble_features, contract_features, observations_of
 from skygrain.operators.normalize import normalize, parse_raw
-from skygrain.operators.serving import serve
+from skygrain.operators.serving import serve, with_model_names
 from skygrain.operators.windows import PLACE, tumbling, watermarked
 from skygrain.sources.contracts import conforms
 from skygrain.sources.streams import as_messages, valid_records
@@ -72,9 +72,11 @@ def windows_joined_stream(stream: DataFrame, watermark: str = "10 minutes", time
 
 
 def prediction_batches(models: Mapping[int, tuple[PipelineModel, Sequence[str]]], points: str, quantiles: str,
-                       dry_run: bool = False):
+                       dry_run: bool = False, align: bool = False):
     """A ``foreachBatch`` function: one batch of feature messages to point and quantile records.
 
+    ``align`` maps streaming feature names to those of the models; by default unknown names are served as 0.0.
+
     The batch number is part of the path, so a repeated batch overwrites its own output. A failing quantile step
     leaves the point records in place.
     """
@@ -82,6 +84,7 @@ def prediction_batches(models: Mapping[int, tuple[PipelineModel, Sequence[str]]]
     def run(batch: DataFrame, number: int) -> None:
         rows = valid_records(batch, "features")
         flat = flatten_features(rows, ["key"])
+        flat = with_model_names(flat) if align else flat
         point, quantile = serve(flat, models, keep=["key"])
         if dry_run:
             for df in (point, quantile):
@@ -98,6 +101,6 @@ def prediction_batches(models: Mapping[int, tuple[PipelineModel, Sequence[str]]]
 
 
 def serve_stream(messages: DataFrame, models: Mapping[int, tuple[PipelineModel, Sequence[str]]], points: str,
-                 quantiles: str, checkpoint: str, dry_run: bool = False) -> StreamingQuery:
+                 quantiles: str, checkpoint: str, dry_run: bool = False, align: bool = False) -> StreamingQuery:
     writer = messages.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    return writer.foreachBatch(prediction_batches(models, points, quantiles, dry_run)).start()
+    return writer.foreachBatch(prediction_batches(models, points, quantiles, dry_run, align)).start()

@@ -242,6 +242,21 @@ def test_time_windows_are_an_option(spark):
     assert [r["temp_mean_3h"] for r in got] == [1.0, 2.0, 5.0]
 
 
+def test_time_windows_over_buckets_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    seconds = sorted(rng.sample(range(6 * 86400), 150))
+    rows = [("p", s, float(i)) for i, s in enumerate(seconds)]
+    df = spark.createDataFrame(rows, "place STRING, s LONG, temperature DOUBLE").withColumn("t", F.timestamp_seconds("s"))
+    got = X.with_time_windows(df, ["place"], "t", [3, 6]).orderBy("s").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for h in (3, 6):
+            near = [v for _, s, v in rows if r["s"] - h * 3600 < s <= r["s"]]
+            assert same(r[f"temp_mean_{h}h"], sum(near) / len(near)) and r[f"temp_min_{h}h"] == near[0]
+
+
 # Datasets -----------------------------------------------------------------------------------------------------
 
 

@@ -87,6 +87,14 @@ def test_absent_features_are_zero_and_listed(spark):
     assert [(r["b"], r["c"], r["missing_features"]) for r in got] == [(0.0, 0.0, ["b", "c"]), (3.0, 0.0, ["c"])]
 
 
+def test_streaming_names_can_be_aligned(spark):
+    flat = spark.createDataFrame([(20.0, 19.0, 0.5)], "temperature DOUBLE, temp_lag_1h DOUBLE, temp_delta_1h DOUBLE")
+    plain = serving.fill_features(flat, ["temperature", "lag_1h", "delta_1h"]).first()
+    assert (plain["lag_1h"], plain["missing_features"]) == (0.0, ["lag_1h", "delta_1h"])
+    aligned = serving.fill_features(serving.with_model_names(flat), ["temperature", "lag_1h", "delta_1h"]).first()
+    assert (aligned["lag_1h"], aligned["delta_1h"], aligned["missing_features"]) == (19.0, 0.5, [])
+
+
 def test_save_and_load(spark, trained, tmp_path):
     rows, features, models, _ = trained
     store.save_models(spark, {h: models[h] for h in (1, 6)}, features, str(tmp_path))

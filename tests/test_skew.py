@@ -103,3 +103,13 @@ def test_dedup_fold_over_ranges_equals_brute_force(spark, hot, seed, step):
     hot(20, 7)
     cut = [r["accepted"] for r in dedup.flag_unchanged(df, ["location"], ["id"], tol).orderBy("id").collect()]
     assert cut == expected
+
+
+def test_copies_of_one_row_are_spread(spark, hot):
+    """Many rows that tie in the whole order still end up in several ranges, and counting stays exact."""
+    hot(10)
+    df = spark.range(90).select(F.lit("a").alias("location"), F.lit(1).alias("event_time"), F.lit(2).alias("id"))
+    ranges = skew.cut_ranges(df, KEY, ORDER)
+    assert skew.range_offsets(ranges, KEY).agg(F.max("_n")).first()[0] < 45
+    split = M.temporal_split(df, KEY, ORDER)
+    assert split.filter("is_train").count() == 72
