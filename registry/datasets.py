@@ -269,16 +269,14 @@ def regression_metrics(spark, sf_dir):
     return rounded(M.regression_metrics(naive_forecasts(spark, sf_dir), "y", "p", ["horizon"]))
 
 
-@query("descaled_metrics", with_clean(f""", {NAIVE}, lim AS (SELECT min(temperature) AS lo, max(temperature) AS hi FROM clean)
-  SELECT horizon, {r('mae', 'mae')}, {r('rmse', 'rmse')}, {r('r2', 'r2')} FROM (
+@query("descaled_metrics", with_clean(f""", {NAIVE} SELECT horizon, {r('mae', 'mae')}, {r('rmse', 'rmse')}, {r('r2', 'r2')} FROM (
     SELECT horizon, {SCORE} FROM naive WHERE y IS NOT NULL GROUP BY horizon)"""))
 def descaled_metrics(spark, sf_dir):
     c = cleaned_observations(spark, sf_dir)
     fit = M.minmax_fit(c, ["temperature"])
-    f = naive_forecasts(spark, sf_dir)
-    low, span = M._span(fit, "temperature")
-    scaled = f.withColumns({"y": (F.col("y") - low) / span, "p": (F.col("p") - low) / span})
-    back = M.minmax_inverse(scaled, fit, {"y": "temperature", "p": "temperature"})
+    both = {"y": "temperature", "p": "temperature"}
+    scaled = M.minmax_transform(naive_forecasts(spark, sf_dir), fit, both)
+    back = M.minmax_inverse(scaled, fit, both)
     return rounded(M.regression_metrics(back, "y", "p", ["horizon"]))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
@@ -48,16 +48,20 @@ def _span(fit: DataFrame, column: str) -> tuple[Column, Column]:
     return low, F.when(high > low, high - low).otherwise(F.lit(1.0))
 
 
-def minmax_transform(df: DataFrame, fit: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(x − min) / (max − min), and 0 for a constant column. The fit is read as scalars: no join, no collect."""
+def minmax_transform(df: DataFrame, fit: DataFrame, columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
+    """(x − min) / (max − min), and 0 for a constant column. The fit is read as scalars: no join, no collect.
+
+    A mapping names the fitted column for each column to scale.
+    """
+    sources = columns if isinstance(columns, Mapping) else {c: c for c in columns}
     scaled = {}
-    for c in columns:
-        low, span = _span(fit, c)
+    for c, source in sources.items():
+        low, span = _span(fit, source)
         scaled[c] = (F.col(c) - low) / span
     return df.withColumns(scaled)
 
 
-def minmax_inverse(df: DataFrame, fit: DataFrame, columns: dict[str, str]) -> DataFrame:
+def minmax_inverse(df: DataFrame, fit: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Undo the scaling; ``columns`` maps a scaled column to the fitted column it came from."""
     back = {}
     for c, source in columns.items():
@@ -88,16 +92,12 @@ def sequences(df: DataFrame, keys: Sequence[str], order: Sequence[str], features
                 "sequence_count": F.greatest(F.col(GROUP_ROWS) - timesteps - far + 1, F.lit(0)),
             }
         )
-        return out.filter((F.col("sequence_no") >= 0) & (F.col("sequence_no") < F.col("sequence_count")) | ~_own(rows))
+        return out.filter((F.col("sequence_no") >= 0) & (F.col("sequence_no") < F.col("sequence_count")))
 
     done = ordered_rows(df, keys, order, build, timesteps - 1, far, numbered=True)
     return done.select(*keys, *order, "sequence_no", "sequence_count", "x", "y")
 
 
-def _own(rows: DataFrame) -> Column:
-    return F.col("_own_row") if "_own_row" in rows.columns else F.lit(True)
-
-
 def sequence_split(seqs: DataFrame, fraction: float = 0.8) -> DataFrame:
     """Add ``is_train``: the first ⌊fraction·n⌋ sequences of each key."""
     return seqs.withColumn("is_train", F.col("sequence_no") < F.floor(F.col("sequence_count") * F.lit(fraction)))

@@ -21,16 +21,22 @@ def _walk(schema: T.StructType, prefix: str = "", always: bool = True) -> Iterat
             yield from _walk(f.dataType, f"{path}.", always and not f.nullable)
 
 
-def required_present(schema: T.StructType, root: str = "") -> Column:
-    """True when every required field is there: not null wherever its parent record is not null."""
+def required_present(schema: T.StructType, root: str = "", optional: tuple[str, ...] = (), variants: bool = False) -> Column:
+    """True when every required field is there: not null wherever its parent record is not null.
+
+    With ``variants`` text fields are still in the form of ``_strict``, where a JSON null is a value.
+    """
     ok = F.lit(True)
     for path, field, _ in _walk(schema):
         col = F.col(f"{root}{path}")
         parent = path.rpartition(".")[0]
         here = F.lit(True) if not parent else F.col(f"{root}{parent}").isNotNull()
-        if not field.nullable:
-            ok = ok & (~here | col.isNotNull())
-        if isinstance(field.dataType, T.ArrayType) and not field.dataType.containsNull:
+        present = col.isNotNull()
+        if variants and isinstance(field.dataType, T.StringType):
+            present = present & ~F.is_variant_null(col)
+        if not field.nullable and path not in optional:
+            ok = ok & (~here | present)
+        if isinstance(field.dataType, T.ArrayType) and not field.dataType.containsNull and not variants:
             ok = ok & ~F.coalesce(F.exists(col, lambda x: x.isNull()), F.lit(False))
     return ok
 
@@ -101,15 +107,15 @@ def check_contract(df: DataFrame, contract: str, value: str = "value") -> DataFr
     schema, defaulted = CONTRACTS[contract], DEFAULTED.get(contract, ())
     parse = T.StructType([*_strict(schema, "", defaulted).fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(value, parse, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = parse_once(df, parsed.alias("_r")).withColumn("record", _record(contract, "_r"))
+    out = parse_once(df, parsed.alias("_r"))
     corrupt = F.col(f"_r.{CORRUPT}")
     # Only a rejected record is parsed again, to tell broken JSON from a value of the wrong type.
     reason = (
         F.when(F.col("_r").isNull() | (corrupt.isNotNull() & F.try_parse_json(value).isNull()), "not json")
         .when(corrupt.isNotNull() | ~_well_typed(schema, "_r", defaulted), "wrong type")
-        .when(~required_present(schema, "record."), "missing field")
+        .when(~required_present(schema, "_r.", defaulted, variants=True), "missing field")
     )
-    return out.withColumn(REASON, reason).drop("_r")
+    return out.withColumns({REASON: reason, "record": _record(contract, "_r")}).drop("_r")
 
 
 def parse_once(df: DataFrame, *columns: Column) -> DataFrame:

@@ -85,7 +85,7 @@ def brute_fold(values, tol):
     return kept
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 @pytest.mark.parametrize("step", [0.3, 0.9, 4.0])
 def test_dedup_fold_over_ranges_equals_brute_force(spark, hot, seed, step):
     """Slow drift is the hard case: the accepted rows of a range depend on where the range before ended."""
