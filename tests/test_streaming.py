@@ -97,6 +97,17 @@ def test_tumbling_stream_updates_end_at_the_batch_result(spark, sf, tmp_path, ho
     assert_same_rows(got, W.tumbling(rows, hours), ["latitude", "longitude", "window_start"])
 
 
+def test_tumbling_stream_in_update_mode_reaches_the_final_rows(spark, sf, tmp_path):
+    rows = observations(spark, sf)
+    path = f"{tmp_path}/obs"
+    land(rows, path, 3, "id")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).json(path)
+    got = replay(chain.tumbling_stream(stream, 6, "60 days"), "tumbling_update", "update")
+    names = ["latitude", "longitude", "window_start", "temp_min_6h", "temp_max_6h", "temp_first", "temp_last"]
+    final = W.tumbling(rows, 6).withColumn("window_start", F.col("window_start").cast("timestamp")).select(*names)
+    assert final.exceptAll(got.select(*names)).count() == 0 and got.count() >= final.count()
+
+
 def test_final_windows_in_append_mode(spark, tmp_path):
     """A late row is dropped once the watermark has passed, and the last window stays open."""
     schema = "latitude DOUBLE, longitude DOUBLE, event_time TIMESTAMP_NTZ, id INT, temperature DOUBLE, humidity INT, wind_speed DOUBLE"
