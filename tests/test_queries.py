@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from registry.book import QUERIES
 from registry.compare import compare, connect
 
 SLOW = {"gbt_train_predict", "rf_train_predict", "rf_quantiles", "prediction_records"}  # trained small in test_models
@@ -13,7 +14,7 @@ def con(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query_equals_its_sql(spark, sf, con, name):
     sql = entry.oracle_sql().get(name)
     assert sql, f"{name} has no SQL"
