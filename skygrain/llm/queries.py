@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skygrain.llm import exact, secrets
+from skygrain.llm import exact, langid, minhash, secrets
+from skygrain.llm.texts import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,12 +66,22 @@ SELECT t.doc_id, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k, *_
 FROM texts t LEFT JOIN judged j ON t.doc_id = j.doc_id GROUP BY t.doc_id"""
 
 
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), remainder("doc_id", 3) == 1)
+
+
 @query("op4_secrets", _secret_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.secret_digest(secrets.find_secrets(docs, repo=F.concat_ws("/", "source", "lang")))
 
 
+@query("op5_minhash_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 @query(
     "op10_exact_dedup",
     """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -77,10 +77,11 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Running polynomial hash; ``span_hash`` takes the hash of any stretch from it."""
+    """Running polynomial hash of bytes or code points; ``span_hash`` takes the hash of any stretch from it."""
+    value = VALUE[data] if data.dtype == np.uint8 else mix(data.astype(np.uint64) * np.uint64(_BASE))
     up, _ = powers(len(data) + 1)
     run = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(VALUE[data] * up[: len(data)], out=run[1:])
+    np.cumsum(value * up[: len(data)], out=run[1:])
     return run
 
 
@@ -134,6 +135,14 @@ class Tally:
         return keys, out
 
 
+def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position, found) of each wanted value among sorted keys."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
 def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
     """An Arrow list column from flat values and the length of each list."""
     offsets = np.zeros(len(lengths) + 1, np.int32)
@@ -160,3 +169,10 @@ def by_key(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         held.append(batch.slice(start))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def remainder(id_col: str, of: int):
+    """crc32 of the id as text, modulo ``of``; null for a null id."""
+    from pyspark.sql import functions as F
+
+    return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(of))
