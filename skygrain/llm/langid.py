@@ -174,7 +174,7 @@ def train(docs: DataFrame) -> LanguageModel:
 
 def _predict(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: LanguageModel = shared.value
+        model = LanguageModel(*shared.value)
         get = model.index().get
         for batch in batches:
             sums = np.zeros((batch.num_rows, len(model.langs)))
@@ -229,7 +229,9 @@ def identify(
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
     model = train(rows.filter(~F.col("held_out")))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model.langs, model.prior, model.words, model.word_scores, model.grams)
+    )
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "held_out", "text").mapInArrow(
         _predict(shared), f"doc_id {kind}, held_out boolean, lang_pred string, score double"
