@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skygrain.llm import exact, langid, lm, minhash, secrets
+from skygrain.llm import exact, langid, lm, minhash, secrets, toxicity
 from skygrain.llm.texts import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"), remainder("doc_id", 3) == 1)
 
 
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity(docs, labels, remainder("doc_id", 5) == 0)
+
+
 @query("op3_lm_scoring")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
