@@ -25,7 +25,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the mixture's weights; each at most once."""
-    return mixing.mix(docs, mixing.Mixture(max_epochs=1))
+    return mixing.mix(docs, mixing.Mixture(share=0.9, max_epochs=1))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skygrain.llm import exact, langid, lm, minhash, secrets, toxicity
+from skygrain.llm import exact, langid, lm, minhash, mixing, packing, secrets, toxicity
 from skygrain.llm.texts import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,17 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+@query("op6_mixing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.draws(table(spark, sf_dir, "documents"), mixing.Mixture(
+        weights={("domain0",): 2.0, ("domain1", "en"): 3.0}, share=0.8, max_epochs=2))
+
+
+@query("op9_best_fit_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op10_exact_dedup",
     """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
