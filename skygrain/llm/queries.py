@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skygrain.llm import exact, langid, lm, minhash, mixing, packing, secrets, toxicity
+from skygrain.llm import chat, exact, langid, lm, minhash, mixing, packing, secrets, toxicity, vectors
 from skygrain.llm.texts import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         weights={("domain0",): 2.0, ("domain1", "en"): 3.0}, share=0.8, max_epochs=2))
 
 
+@query("op7_chat_formatting")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+@query("op8_embedding_near_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
