@@ -15,7 +15,8 @@ from skygrain.plans.durable import materialize
 
 BANDS, ROWS = 40, 6  # a pair at similarity 0.8 shares no band with a chance of (1 - 0.8**6)**40 = 5e-6
 PERMUTATIONS = BANDS * ROWS // 2  # each gives a minimum and a maximum
-SMALL_GROUP, SMALL_SHINGLES = 256, 500_000  # groups up to this size are compared within one task
+SMALL_GROUP, SMALL_SHINGLES = 4096, 1_000_000  # groups up to this size are compared within one task
+BLOCK_MEMBERS, BLOCK_SHINGLES = 256, 500_000  # blocks of larger groups
 FIRST_PIVOTS, MOST_PIVOTS = 16, 512
 
 
@@ -114,9 +115,27 @@ class Group:
         place = np.minimum(np.searchsorted(one, self.flat), len(one) - 1)
         return np.add.reduceat((one[place] == self.flat).astype(np.int64), self.at)
 
-    def similar(self, one: np.ndarray, percent: int) -> np.ndarray:
-        both = self.common(one)
-        return 100 * both >= percent * (self.sizes + len(one) - both)
+
+class Shared:
+    """The sets of one group with their elements numbered; elements of a single set are left out of the counting."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        _, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        keep = times[number] > 1
+        owner = np.repeat(np.arange(len(sets)), self.sizes)[keep]
+        self.flat = number[keep].astype(np.int32)
+        self.at = np.searchsorted(owner, np.arange(len(sets) + 1))
+        self.mark = np.zeros(len(times), np.int8)
+
+    def similar(self, i: int, percent: int) -> np.ndarray:
+        """Which sets are similar enough to the i-th."""
+        own = self.flat[self.at[i] : self.at[i + 1]]
+        self.mark[own] = 1
+        run = np.concatenate([[0], np.cumsum(self.mark[self.flat], dtype=np.int32)])
+        self.mark[own] = 0
+        both = run[self.at[1:]] - run[self.at[:-1]]
+        return 100 * both >= percent * (self.sizes + self.sizes[i] - both)
 
 
 def _root(parent: list[int], i: int) -> int:
@@ -137,12 +156,12 @@ def _small_groups(width: int, percent: int):
                 sets += shingles(data, offsets, width)
             docs = [d for d, s in zip(group.column("doc_id").to_pylist(), sets) if len(s)]
             sets = [s for s in sets if len(s)]
-            side = Group(sets)
             parent, left = list(range(len(docs))), len(docs) - 1
+            side = Shared(sets)
             for i in range(len(docs)):
                 if not left:
                     break
-                for j in np.flatnonzero(side.similar(sets[i], percent)):
+                for j in np.flatnonzero(side.similar(i, percent)):
                     a, b = _root(parent, i), _root(parent, int(j))
                     if a != b:
                         parent[max(a, b)] = min(a, b)
@@ -255,8 +274,13 @@ def _large_groups(members: DataFrame, percent: int) -> DataFrame:
             cluster.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id", "left"
         )
         others = cluster.select(F.col("node").alias("pivot_id"), F.col("component").alias("pivot_cluster"))
+        # Only where the pivots of a group are not all in one cluster can a member lie between two.
+        split = done.join(others, done["doc_id"] == others["pivot_id"], "left").groupBy("component").agg(
+            F.min(F.coalesce("pivot_cluster", "doc_id")).alias("low"),
+            F.max(F.coalesce("pivot_cluster", "doc_id")).alias("high"),
+        ).filter("low <> high").select("component")
         border = (
-            near.join(own.drop("component"), "doc_id").join(others, "pivot_id", "left")
+            near.join(split, "component", "left_semi").join(own.drop("component"), "doc_id").join(others, "pivot_id", "left")
             .filter(~F.coalesce(F.col("cluster"), F.col("doc_id")).eqNullSafe(
                 F.coalesce(F.col("pivot_cluster"), F.col("pivot_id"))))
             .select("doc_id").distinct()
@@ -300,17 +324,18 @@ def near_duplicates(
     )
     buckets = each.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     buckets = buckets.filter("first < last").select("key", "first")
-    pointers = each.join(buckets, "key").filter("doc_id <> first").select(
-        F.col("doc_id").alias("a"), F.col("first").alias("b")
-    ).distinct()
-    groups = components(pointers)
+    firsts = each.join(buckets, "key").groupBy("doc_id").agg(F.collect_set("first").alias("firsts"))  # at most BANDS
+    # A document hangs on its least bucket head, and so do its other heads: few edges even in a large group.
+    head = firsts.select(
+        F.array_min("firsts").alias("a"), F.explode(F.array_union("firsts", F.array("doc_id"))).alias("b"))
+    groups = components(head.filter("a <> b").distinct())
     sizes = signed.select("doc_id", "n_shingles").join(groups, F.col("doc_id") == F.col("node")).groupBy(
         "component").agg(F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("shingles"))
     grouped = materialize(
         groups.join(sizes, "component").select(
             F.col("node").alias("doc_id"), "component",
             F.when((F.col("members") <= SMALL_GROUP) & (F.col("shingles") <= SMALL_SHINGLES), 0).otherwise(
-                F.greatest(F.ceil(F.col("members") / SMALL_GROUP), F.ceil(F.col("shingles") / SMALL_SHINGLES))
+                F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
             ).alias("blocks"),
         ),
         "candidate-groups",
