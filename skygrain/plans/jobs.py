@@ -22,11 +22,12 @@ PLACE = ("latitude", "longitude")
 
 
 def build_dataset(messages: DataFrame, output: str, horizon: int = 3, existing: str | None = None,
-                  max_messages: int | None = 5000, order: Sequence[str] = ("offset",)) -> tuple[str, DataFrame]:
+                  max_messages: int | None = None,
+                  order: Sequence[str] = ("timestamp", "partition", "offset")) -> tuple[str, DataFrame]:
     """Feature messages to a saved dataset with a target: (folder written, report).
 
     ``existing`` is the folder of an earlier dataset to merge with. The result goes to a new folder below ``output``
-    because a job must not overwrite what it reads.
+    because a job must not overwrite what it reads. Every message is read unless ``max_messages`` limits them.
     """
     records = bounded_read(messages, "features", max_messages, order)
     return _finish(records, output, horizon, existing)
