@@ -8,6 +8,7 @@ from registry.book import query
 from registry.views import CLEAN, KEY, OBS, ORDER, RAW, observations, r, raw_records, rounded
 from skygrain.functions import series as S, values as V
 from skygrain.operators import features as X, filters, normalize as N, windows as W
+from skygrain.sources.contracts import parse_once
 from skygrain.sources.tables import explode_hourly
 
 CONVERT_T = """CASE WHEN t_unit IN ('K') THEN {v} - 273.15 WHEN t_unit IN ('°F') THEN ({v} - 32) * 5 / 9 ELSE {v} END"""
@@ -149,6 +150,39 @@ def normalize(spark, sf_dir):
     ))
 
 
+# The same records as JSON messages: by its id a record has its temperature as text, and its humidity as text, with a
+# fraction (cut) or as text with a fraction (no whole number, so null); every other one has text inside ``hourly``.
+@query("normalize_json", with_raw(f""", sent AS (SELECT * REPLACE (CASE WHEN id % 4 <> 3 THEN humidity END AS humidity),
+    humidity AS hourly_humidity FROM raw)
+  SELECT {CURRENT_SQL}, latitude, longitude, coalesce(elevation, 0.0) AS elevation, hours AS hourly_rows,
+    CASE WHEN hours > 0 THEN hourly_humidity END AS first_humidity, {r(COMPLETE_SQL, 'completeness')},
+    {ANOMALY_SQL} AS validation_errors FROM sent"""))
+def normalize_json(spark, sf_dir):
+    raw, n = raw_records(spark, sf_dir), F.col("id")
+    value = F.to_json(F.struct(*[c for c in raw.columns if c not in ("id", "location")]))
+    as_text, as_is = F.lit('"$1"'), F.lit("$1")
+    humidity = F.when(n % 4 == 1, as_text).when(n % 4 == 2, "$1.7").when(n % 4 == 3, '"$1.7"').otherwise(as_is)
+    for before, number, after in (
+        ('"temperature_2m":', "[-0-9.E]+", F.when(n % 3 == 0, as_text).otherwise(as_is)),
+        ('"relative_humidity_2m":', "[0-9]+", humidity),
+        ('"relative_humidity_2m":[', "[0-9]+", F.when(n % 2 == 0, as_text).otherwise(as_is)),
+    ):
+        pattern = F.lit(before.replace("[", r"\[") + f"({number})")
+        value = F.regexp_replace(value, pattern, F.concat(F.lit(before), after))
+    messages = parse_once(raw, value.alias("value")).select("id", "value")
+    out = N.normalize(N.parse_raw(messages))
+    return rounded(out.select(
+        "id", *[F.col(f"current.{x}") for x in ("time", "temperature_2m", "relative_humidity_2m", "precipitation",
+                                                "wind_speed_10m", "wind_direction_10m", "cloud_cover", "pressure_msl")],
+        F.col("current.units.precipitation").alias("precipitation_unit"),
+        F.col("current.units.temperature").alias("temperature_unit"),
+        "location.latitude", "location.longitude", "location.elevation", F.size("hourly.time").alias("hourly_rows"),
+        F.get("hourly.relative_humidity_2m", F.lit(0)).alias("first_humidity"),
+        F.col("metadata.data_quality.completeness").alias("completeness"),
+        F.array_join("metadata.data_quality.validation_errors", ",").alias("validation_errors"),
+    ))
+
+
 @query("explode_hourly", with_raw(f"""SELECT id, CAST(date_trunc('second', event_time) + to_hours(CAST(i AS INTEGER)) AS TIMESTAMP) AS hour_time,
     {r('temperature + i * 0.5', 'temperature')}, CAST(humidity + i AS INTEGER) AS humidity, {r('wind_speed + i', 'wind_speed')},
     {r('CASE WHEN id % 2 = 0 THEN pressure - i END', 'pressure')}, cloud_cover, {r('precipitation', 'precipitation')}

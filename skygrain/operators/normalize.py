@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skygrain.functions import values as V
 from skygrain.sources.contracts import conforms, parse_once
@@ -93,9 +93,41 @@ def normalize(raw: DataFrame) -> DataFrame:
     return conforms(cleaned, "cleaned")
 
 
+MEASURED = ("current", "hourly")
+
+
+def _as_sent(dtype: T.DataType) -> T.DataType:
+    """The type with its numbers as variants, which keep text and fractions as the message has them."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_sent(f.dataType)) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_as_sent(dtype.elementType))
+    return T.VariantType() if isinstance(dtype, (T.DoubleType, T.IntegerType)) else dtype
+
+
+def _measured(col: Column, dtype: T.DataType) -> Column:
+    """A column parsed by ``_as_sent`` in its contract type; what is no number becomes null."""
+    if isinstance(dtype, T.StructType):
+        fields = [_measured(col[f.name], f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(col.isNotNull(), F.struct(*fields))
+    if isinstance(dtype, T.ArrayType) and not isinstance(dtype.elementType, T.StringType):
+        return F.transform(col, lambda x: _measured(x, dtype.elementType))
+    if isinstance(dtype, (T.DoubleType, T.IntegerType)):
+        return F.try_variant_get(col, "$", dtype.simpleString())
+    return col
+
+
 def parse_raw(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Keyed JSON messages to typed raw rows; messages without the required keys are dropped."""
+    """Keyed JSON messages to typed raw rows; messages without the required keys are dropped.
+
+    Measured values may come as text, and whole numbers with a fraction, which is cut. Coordinates must be numbers.
+    """
     keep = [c for c in messages.columns if c != value]
     present = messages.filter(has_required_keys(F.col(value)))
-    parsed = parse_once(present, F.from_json(F.col(value), nullable(RAW)).alias("_r"))
-    return parsed.select(*keep, "_r.*")
+    schema = nullable(RAW)
+    sent = T.StructType([T.StructField(f.name, _as_sent(f.dataType)) if f.name in MEASURED else f for f in schema.fields])
+    parsed = parse_once(present, F.from_json(F.col(value), sent).alias("_r"))
+    typed = parse_once(parsed, *[_measured(F.col(f"_r.{f.name}"), f.dataType).alias(f"_{f.name}")
+                                 for f in schema.fields if f.name in MEASURED])
+    return typed.select(*keep, *[
+        F.col(f"_{f.name}" if f.name in MEASURED else f"_r.{f.name}").alias(f.name) for f in schema.fields])
