@@ -256,12 +256,12 @@ def check_alerts(spark, sf_dir):
                                   stability(spark, sf_dir), LIMITS))
 
 
-# Alert history: the busiest kind of event of each hour raises an alert; one day's alerts arrive after the earlier ones.
+# Alert history: the busiest kind of event of each hour raises an alert; those from a day on arrive after the others.
 HOURLY_ALERTS = f"""al AS (SELECT CAST(epoch(h) AS BIGINT) // 3600 AS pos, event_type AS message FROM (
     SELECT time_bucket(INTERVAL 1 HOUR, ts) AS h, event_type, count(*) AS n FROM events GROUP BY ALL)
   QUALIFY row_number() OVER (PARTITION BY h ORDER BY n DESC, event_type) = 1),
   hist AS (SELECT * FROM al WHERE pos < epoch(TIMESTAMP '{SPLIT_DAY}') / 3600),
-  fresh AS (SELECT *, row_number() OVER (ORDER BY pos) AS k FROM al WHERE pos >= epoch(TIMESTAMP '{SPLIT_DAY}') / 3600 AND pos < epoch(TIMESTAMP '{SPLIT_DAY}') / 3600 + 24)"""
+  fresh AS (SELECT *, row_number() OVER (ORDER BY pos) AS k FROM al WHERE pos >= epoch(TIMESTAMP '{SPLIT_DAY}') / 3600)"""
 
 
 @query("alert_history", f"""WITH RECURSIVE {HOURLY_ALERTS}, f AS (
@@ -269,7 +269,7 @@ HOURLY_ALERTS = f"""al AS (SELECT CAST(epoch(h) AS BIGINT) // 3600 AS pos, event
     UNION ALL
     SELECT n.k, CASE WHEN list_contains(f.top, n.message) THEN f.top ELSE (list_prepend(n.message, f.top))[1:5] END,
       CASE WHEN NOT list_contains(f.top, n.message) THEN n.pos END, n.message FROM f JOIN fresh n ON n.k = f.k + 1)
-  SELECT pos, message FROM (SELECT pos, message, 1 AS z FROM f WHERE pos IS NOT NULL UNION ALL SELECT pos, message, 0 FROM hist) ORDER BY z DESC, pos DESC LIMIT 15""")
+  SELECT pos, message FROM (SELECT pos, message, 1 AS z FROM f WHERE pos IS NOT NULL UNION ALL SELECT pos, message, 0 FROM hist)""")
 def alert_history(spark, sf_dir):
     hour = F.window("ts", "1 hour")["start"]
     counts = table(spark, sf_dir, "events").groupBy(hour.alias("h"), "event_type").agg(F.count(F.lit(1)).alias("n"))
@@ -278,5 +278,4 @@ def alert_history(spark, sf_dir):
     al = counts.withColumn("k", F.row_number().over(busiest)).filter("k = 1").select(
         pos.alias("pos"), F.col("event_type").alias("message"))
     split = F.floor(F.unix_seconds(F.lit(SPLIT_DAY).cast("timestamp")) / 3600)
-    fresh = al.filter((F.col("pos") >= split) & (F.col("pos") < split + 24))
-    return A.alert_history(al.filter(F.col("pos") < split), fresh, "pos")
+    return A.alert_history(al.filter(F.col("pos") < split), al.filter(F.col("pos") >= split), "pos")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Default thresholds, message texts and list lengths.
@@ -82,34 +85,38 @@ def check_alerts(backlog: DataFrame, drift: DataFrame, completeness: DataFrame,
     return reduce(DataFrame.unionByName, numbered)
 
 
+def _unrepeated(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Positions of the alerts that are kept, from the newest earlier ones and then the new ones in order."""
+    top: deque[str] = deque(maxlen=RECENT_ALERTS)
+    for rows in batches:
+        kept = []
+        for fresh, k, message in zip(rows["fresh"], rows["k"], rows["message"]):
+            if fresh and message in top:
+                continue
+            top.append(message)
+            if fresh:
+                kept.append(k)
+        yield pd.DataFrame({"k": pd.Series(kept, dtype="int64")})
+
+
 def alert_history(history: DataFrame, new: DataFrame, position: str) -> DataFrame:
-    """New alerts added to the history, newest first, at most ``SHOWN_ALERTS`` rows.
+    """The whole history with the new alerts added, newest first.
 
-    ``position`` orders both tables. A new alert is skipped when its message is among the five newest at that moment,
-    which includes alerts of the same check. Those five messages are the state of a fold over one check's alerts,
-    whose number is bounded by topics and features, never by data rows. The history itself is only read top-k.
+    ``position``, a whole number that is unique in each table, orders both. A new alert is skipped when its message is
+    among the five newest at that moment, which includes alerts of the same check. That rule is a fold in order, so
+    (position, message) of the new alerts run through one task that holds five messages. Their number grows with the
+    checks made, not with the data checked. Of the history, the fold reads only the five newest.
     """
     newest = history.orderBy(F.desc(position)).limit(RECENT_ALERTS)
-    both = newest.select((-F.col(position)).alias("k"), "message", F.lit(False).alias("fresh")).unionByName(
-        new.select(F.col(position).alias("k"), "message", F.lit(True).alias("fresh"))
-    )
-
-    def in_order(fresh: bool) -> Column:
-        mine = F.when(F.col("fresh") == fresh, F.struct("k", "message"))
-        return F.array_sort(F.collect_list(mine))
-
-    arrivals = both.agg(in_order(False)["message"].alias("top"), in_order(True).alias("n"))
-    empty = F.struct("top", F.array().cast("array<bigint>").alias("kept"))
-
-    def step(state: Column, a: Column) -> Column:
-        fresh = ~F.array_contains(state["top"], a["message"])
-        return F.struct(
-            F.when(fresh, F.slice(F.concat(F.array(a["message"]), state["top"]), 1, RECENT_ALERTS))
-            .otherwise(state["top"]).alias("top"),
-            F.when(fresh, F.array_append(state["kept"], a["k"].cast("long"))).otherwise(state["kept"]).alias("kept"),
-        )
-
-    kept = arrivals.select(F.explode(F.aggregate("n", empty, step)["kept"]).alias(position))
-    added = new.join(kept, position, "left_semi").withColumn("_new", F.lit(1))
-    shown = history.orderBy(F.desc(position)).limit(SHOWN_ALERTS).withColumn("_new", F.lit(0)).unionByName(added)
-    return shown.orderBy(F.desc("_new"), F.desc(position)).limit(SHOWN_ALERTS).drop("_new")
+    columns = [F.col(position).cast("long").alias("k"), "message"]
+    both = newest.select(F.lit(False).alias("fresh"), *columns).unionByName(
+        new.select(F.lit(True).alias("fresh"), *columns))
+    kept = both.repartition(1).sortWithinPartitions("fresh", "k").mapInPandas(_unrepeated, "k LONG")
+    added = new.join(kept.withColumnRenamed("k", position), position, "left_semi").withColumn("_new", F.lit(1))
+    whole = history.withColumn("_new", F.lit(0)).unionByName(added)
+    return whole.orderBy(F.desc("_new"), F.desc(position)).drop("_new")
+
+
+def shown(history: DataFrame, n: int = SHOWN_ALERTS) -> DataFrame:
+    """The first ``n`` rows of a history, for display."""
+    return history.limit(n)
