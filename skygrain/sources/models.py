@@ -5,12 +5,11 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from skygrain.sources.schemas import HORIZONS
+from skygrain.sources.tables import read_if_there
 
 
 def _model_path(directory: str, horizon: int) -> str:
@@ -22,25 +21,25 @@ def save_models(spark: SparkSession, models: Mapping[int, PipelineModel], featur
     for horizon, model in models.items():
         model.write().overwrite().save(_model_path(directory, horizon))
     line = json.dumps({"feature_columns": list(features), "model_type": kind})
-    spark.range(1).selectExpr(f"'{line}' AS value").coalesce(1).write.mode("overwrite").text(
+    spark.createDataFrame([(line,)], "value STRING").coalesce(1).write.mode("overwrite").text(
         f"{directory.rstrip('/')}/model_metadata")
 
 
 def load_models(spark: SparkSession, directory: str) -> dict[int, tuple[PipelineModel, list[str]]]:
-    """Models by horizon with their columns. A missing horizon is tolerated; no model or no columns is an error."""
-    try:
-        line = spark.read.text(f"{directory.rstrip('/')}/model_metadata").first()["value"]
-    except AnalysisException as exc:
-        raise FileNotFoundError(f"no model metadata in {directory}") from exc
-    features = json.loads(line).get("feature_columns", [])
+    """Models by horizon with their columns. A horizon that was never saved is left out.
+
+    No model at all, no columns, or a model that is there but cannot be read is an error.
+    """
+    metadata = read_if_there(spark, f"{directory.rstrip('/')}/model_metadata", "text")
+    if metadata is None:
+        raise FileNotFoundError(f"no model metadata in {directory}")
+    features = json.loads(metadata.first()["value"]).get("feature_columns", [])
     if not features:
         raise ValueError("the model metadata names no feature columns")
     models = {}
     for horizon in HORIZONS:
-        try:
+        if read_if_there(spark, f"{_model_path(directory, horizon)}/metadata", "text") is not None:
             models[horizon] = (PipelineModel.load(_model_path(directory, horizon)), features)
-        except (Py4JJavaError, AnalysisException):
-            continue
     if not models:
         raise FileNotFoundError(f"no models in {directory}")
     return models

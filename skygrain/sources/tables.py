@@ -27,11 +27,20 @@ def explode_hourly(df: DataFrame, keep: Sequence[str] = (), sort: bool = False)
     return out.orderBy("timestamp") if sort else out
 
 
+def read_if_there(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame | None:
+    """What is stored at ``path``, or None where nothing is. A store that cannot be read is an error."""
+    try:
+        return spark.read.format(kind).load(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def load_existing(spark: SparkSession, path: str) -> DataFrame | None:
     """The saved Parquet dataset, or None where there is none."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
+    df = read_if_there(spark, path)
+    if df is None:
         return None
     if "timestamp" in df.columns and dict(df.dtypes)["timestamp"] not in ("timestamp", "timestamp_ntz"):
         df = df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
