@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skygrain.functions.values import location_text
 from skygrain.operators.dataset import flatten_features
 from skygrain.operators.features import assemble_features, contract_features, observations_of
 from skygrain.operators.normalize import normalize, parse_raw
-from skygrain.operators.serving import serve, with_model_names
+from skygrain.operators.serving import leaf_tables, prediction_records, score_horizons, with_model_names
 from skygrain.operators.windows import PLACE, tumbling, watermarked
 from skygrain.sources.contracts import conforms
-from skygrain.sources.streams import as_messages, valid_records
+from skygrain.sources.schemas import TOPICS
+from skygrain.sources.streams import WRITER_OPTIONS, as_messages, valid_records
 from skygrain.streaming.state import with_history
 
 
@@ -71,36 +73,63 @@ def windows_joined_stream(stream: DataFrame, watermark: str = "10 minutes", time
     return one.drop("window")
 
 
-def prediction_batches(models: Mapping[int, tuple[PipelineModel, Sequence[str]]], points: str, quantiles: str,
-                       dry_run: bool = False, align: bool = False):
+Sink = Callable[[DataFrame, str, int], None]
+
+
+def folder_sink(points: str, quantiles: str) -> Sink:
+    """Messages to folders. The batch number is part of the path, so a repeated batch overwrites its own output."""
+    folders = {"predictions": points, "predictions_quantiles": quantiles}
+
+    def write(messages: DataFrame, contract: str, number: int) -> None:
+        messages.write.mode("overwrite").json(f"{folders[contract]}/batch={number}")
+
+    return write
+
+
+def topic_sink(servers: str) -> Sink:
+    """Messages to the two prediction topics; a repeated batch sends its records, under the same keys, again."""
+    def write(messages: DataFrame, contract: str, number: int) -> None:
+        options = {"kafka.bootstrap.servers": servers, "topic": TOPICS[contract], **WRITER_OPTIONS}
+        messages.write.format("kafka").options(**options).save()
+
+    return write
+
+
+def noop_sink(messages: DataFrame, contract: str, number: int) -> None:
+    """Scores everything and keeps nothing (a dry run)."""
+    messages.write.format("noop").mode("overwrite").save()
+
+
+def prediction_batches(spark: SparkSession, models: Mapping[int, tuple[PipelineModel, Sequence[str]]], sink: Sink,
+                       align: bool = False):
     """A ``foreachBatch`` function: one batch of feature messages to point and quantile records.
 
     ``align`` maps streaming feature names to those of the models; by default unknown names are served as 0.0.
 
-    The batch number is part of the path, so a repeated batch overwrites its own output. A failing quantile step
-    leaves the point records in place.
+    Leaf tables are made once, here. A batch is decoded and scored once and kept for both writes. A record without
+    quantiles (a boosted model has none) still gives its point; a failing write fails the batch, which is then repeated.
     """
+    tables = leaf_tables(spark, models)
 
     def run(batch: DataFrame, number: int) -> None:
-        rows = valid_records(batch, "features")
-        flat = flatten_features(rows, ["key"])
+        flat = flatten_features(valid_records(batch, "features"), ["key"])
         flat = with_model_names(flat) if align else flat
-        point, quantile = serve(flat, models, keep=["key"])
-        if dry_run:
-            for df in (point, quantile):
-                df.write.format("noop").mode("overwrite").save()
-            return
-        as_messages(conforms(point, "predictions")).write.mode("overwrite").json(f"{points}/batch={number}")
+        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
+        scored = score_horizons(flat, models, tables, keep=["key"]).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            as_messages(conforms(quantile, "predictions_quantiles")).write.mode("overwrite").json(
-                f"{quantiles}/batch={number}")
-        except Exception as exc:  # the points are already out
-            print(f"quantile step failed for batch {number}: {exc}")
+            point, quantile = prediction_records(scored, F.col("horizon_hours"), "timestamp", ["key"])
+            sink(as_messages(conforms(point, "predictions")), "predictions", number)
+            sink(as_messages(conforms(quantile, "predictions_quantiles")), "predictions_quantiles", number)
+        finally:
+            scored.unpersist()
+            flat.unpersist()
 
     return run
 
 
-def serve_stream(messages: DataFrame, models: Mapping[int, tuple[PipelineModel, Sequence[str]]], points: str,
-                 quantiles: str, checkpoint: str, dry_run: bool = False, align: bool = False) -> StreamingQuery:
-    writer = messages.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    return writer.foreachBatch(prediction_batches(models, points, quantiles, dry_run, align)).start()
+def serve_stream(messages: DataFrame, models: Mapping[int, tuple[PipelineModel, Sequence[str]]], sink: Sink,
+                 checkpoint: str, align: bool = False, every: str | None = None) -> StreamingQuery:
+    """Serve what is there and stop, or keep running with a batch ``every`` so often (as "10 seconds")."""
+    writer = messages.writeStream.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.foreachBatch(prediction_batches(messages.sparkSession, models, sink, align)).start()
