@@ -61,11 +61,11 @@ def with_time_windows(df: DataFrame, keys: Sequence[str], time: str, hours: Sequ
     """Rolling temperature statistics over hours of time instead of rows (opt-in; rows are the default meaning).
 
     A key is cut into time buckets, and a row near the end of a bucket also goes to the next one, whose first rows
-    reach back to it. So a long history of one key is spread over many tasks.
+    reach back to it. So a long history of one key is spread over many tasks. A row without a time has null statistics.
     """
     reach = max(hours) * 3600
     width = max(24 * 3600, 4 * reach)
-    rows = df.withColumn("_t", F.unix_seconds(F.col(time).cast("timestamp")))
+    rows = df.filter(F.col(time).isNotNull()).withColumn("_t", F.unix_seconds(F.col(time).cast("timestamp")))
     home, last = F.floor(F.col("_t") / width), F.floor((F.col("_t") + reach) / width)
     rows = rows.withColumn("_bucket", F.explode(F.array_distinct(F.array(home, last)))).withColumn("_home", home)
     w = Window.partitionBy(*keys, "_bucket").orderBy("_t")
@@ -73,7 +73,8 @@ def with_time_windows(df: DataFrame, keys: Sequence[str], time: str, hours: Sequ
     for h in hours:
         for name, col in S.time_rolling_stats(F.col("temperature"), h, w).items():
             cols[f"temp_{name}"] = col
-    return rows.withColumns(cols).filter(F.col("_bucket") == F.col("_home")).drop("_t", "_bucket", "_home")
+    dated = rows.withColumns(cols).filter(F.col("_bucket") == F.col("_home")).drop("_t", "_bucket", "_home")
+    return dated.unionByName(df.filter(F.col(time).isNull()), allowMissingColumns=True)
 
 
 def _group(prefix: str, names: Sequence[str]) -> Column:

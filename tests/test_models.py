@@ -15,7 +15,7 @@ from skygrain.plans import jobs
 from skygrain.sources import models as store
 from skygrain.sources.streams import as_messages, read_topic
 from skygrain.sources.tables import load_performance
-from skygrain.streaming.chain import serve_stream
+from skygrain.streaming.chain import folder_sink, noop_sink, prediction_batches, serve_stream
 
 SMALL = {"numTrees": 7, "maxDepth": 4}
 
@@ -127,7 +127,8 @@ def test_serving_stream(spark, sf, trained, tmp_path):
     bad.coalesce(1).write.mode("append").json(f"{tmp_path}/features")
     bundle = {h: (models[h], features) for h in (1, 3)}
     stream = read_topic(spark, f"{tmp_path}/features")
-    serve_stream(stream, bundle, f"{tmp_path}/points", f"{tmp_path}/quantiles", f"{tmp_path}/ck").awaitTermination(240)
+    sink = folder_sink(f"{tmp_path}/points", f"{tmp_path}/quantiles")
+    serve_stream(stream, bundle, sink, f"{tmp_path}/ck").awaitTermination(240)
     n = records.count()
     for side in ("points", "quantiles"):
         out = spark.read.json(f"{tmp_path}/{side}")
@@ -135,6 +136,36 @@ def test_serving_stream(spark, sf, trained, tmp_path):
     value = F.from_json("value", "horizon_hours INT, temperature_prediction DOUBLE, model_name STRING, event_time STRING")
     rows = spark.read.json(f"{tmp_path}/points").select(value.alias("r")).select("r.*")
     assert rows.filter("temperature_prediction IS NULL OR model_name <> 'random_forest' OR event_time IS NULL").count() == 0
-    dry = serve_stream(stream, bundle, f"{tmp_path}/p2", f"{tmp_path}/q2", f"{tmp_path}/ck2", dry_run=True)
+    dry = serve_stream(stream, bundle, noop_sink, f"{tmp_path}/ck2")
     dry.awaitTermination(240)
-    assert not (tmp_path / "p2").exists()
+    assert dry.exception() is None
+
+
+def test_boosted_models_give_points_and_write_errors_fail_the_batch(spark, sf, trained, tmp_path):
+    rows, features, models, _ = trained
+    boosted = TR.train(rows.filter("is_train"), features, "target_temperature_1h", "boosted", maxIter=2, maxDepth=2)
+    got = serving.predict(rows, boosted, features)
+    assert got.count() == got.filter("prediction IS NOT NULL AND temperature_p50 IS NULL").count() == rows.count()
+    records = X.contract_features(feature_records(spark, sf)).withColumn("key", F.format_string("%06d", "id")).drop("id")
+    sink = folder_sink(f"{tmp_path}/points", f"{tmp_path}/quantiles")
+    prediction_batches(spark, {1: (boosted, features), 3: (models[3], features)}, sink)(as_messages(records), 0)
+    n = records.count()
+    assert spark.read.json(f"{tmp_path}/points").count() == 2 * n and spark.read.json(f"{tmp_path}/quantiles").count() == n
+
+    def failing(messages, contract, number):
+        if contract == "predictions_quantiles":
+            raise OSError("full")
+
+    with pytest.raises(OSError):
+        prediction_batches(spark, {3: (models[3], features)}, failing)(as_messages(records), 1)
+
+
+def test_an_unreadable_model_is_an_error(spark, trained, tmp_path):
+    _, features, models, _ = trained
+    store.save_models(spark, {1: models[1]}, ["it's"], str(tmp_path))
+    assert store.load_models(spark, str(tmp_path))[1][1] == ["it's"]
+    stages = tmp_path / "weather_model_1h" / "metadata"
+    for part in stages.iterdir():
+        part.write_text("broken")
+    with pytest.raises(ValueError, match="Expecting value"):
+        store.load_models(spark, str(tmp_path))
