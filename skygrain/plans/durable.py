@@ -24,12 +24,17 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get(CHECKPOINT_CONF)
 
 
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing was written to yet."""
+    return f"{shared_dir(spark)}/skygrain/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Parquet rather than ``checkpoint()``: later passes read only the columns they name.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/skygrain/{label}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

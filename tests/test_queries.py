@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from registry.book import QUERIES
 from registry.compare import compare, connect
 
-SLOW = {"gbt_train_predict", "rf_train_predict", "rf_quantiles", "prediction_records"}  # trained small in test_models
+SLOW = {"gbt_train_predict", "rf_train_predict", "rf_quantiles", "prediction_records", "forecast_facts"}  # full-size forests
 
 
 @pytest.fixture(scope="module")
