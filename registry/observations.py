@@ -447,7 +447,7 @@ def three_windows(spark, sf_dir):
 
 @query("window_join", with_obs(f"{THREE} SELECT {JOIN_OUT} {CONTAINING}"))
 def window_join(spark, sf_dir):
-    return rounded(W.join_windows_containing(*three_windows(spark, sf_dir)).select(*JOIN_COLS))
+    return rounded(W.rolled_up_windows(observations(spark, sf_dir)).select(*JOIN_COLS))
 
 
 @query("window_join_within", with_obs(f"""{THREE} SELECT {JOIN_OUT} FROM t1

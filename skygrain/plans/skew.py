@@ -32,7 +32,7 @@ def hot_rows(df: DataFrame) -> int:
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     """Keys with more rows than one task should sort, or None when there are none.
 
-    There are at most (rows / limit) such keys, so the table is small enough to broadcast at any scale.
+    There are at most (rows / limit) such keys. The table is written, so its joins are planned by its size.
     The count reads only the key columns and is combined before its shuffle.
     """
     over = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows(df)).select(*keys)
@@ -50,7 +50,7 @@ def _same_key(left: str, right: str, keys: Sequence[str]) -> Column:
 
 def split_by_key(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows of hot keys, all other rows)."""
-    left, right = df.alias("l"), F.broadcast(hot).alias("r")
+    left, right = df.alias("l"), hot.alias("r")
     cond = _same_key("l", "r", keys)
     return left.join(right, cond, "left_semi"), left.join(right, cond, "left_anti")
 

@@ -39,6 +39,8 @@ def test_missing_target_is_skipped(trained):
     rows, features, _, _ = trained
     models, _ = TR.train_all_horizons(rows.drop("target_temperature_3h"), features, numTrees=2, maxDepth=2)
     assert sorted(models) == [1, 6]
+    with pytest.raises(ValueError, match="target"):
+        TR.train_all_horizons(rows.select("id", *features), features)
 
 
 def test_unknown_kind_is_an_error(trained):
