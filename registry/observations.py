@@ -440,11 +440,6 @@ JOIN_COLS = ["latitude", "longitude", "window_end", "temp_last", "temp_first"] +
                                 f"temp_last_{h}h", f"temp_first_{h}h")]
 
 
-def three_windows(spark, sf_dir):
-    o = observations(spark, sf_dir)
-    return [W.tumbling(o, h) for h in (1, 3, 6)]
-
-
 @query("window_join", with_obs(f"{THREE} SELECT {JOIN_OUT} {CONTAINING}"))
 def window_join(spark, sf_dir):
     return rounded(W.rolled_up_windows(observations(spark, sf_dir)).select(*JOIN_COLS))
@@ -456,7 +451,7 @@ def window_join(spark, sf_dir):
     LEFT JOIN t6 ON t1.latitude = t6.latitude AND t1.longitude = t6.longitude
       AND t6.window_end BETWEEN t1.window_end - INTERVAL 6 HOUR AND t1.window_end + INTERVAL 6 HOUR"""))
 def window_join_within(spark, sf_dir):
-    return rounded(W.join_windows_within(*three_windows(spark, sf_dir)).select(*JOIN_COLS))
+    return rounded(W.join_windows_within(*W.tumbling_from_hourly(observations(spark, sf_dir))).select(*JOIN_COLS))
 
 
 ENRICHED = [("t1.temp_last", "temp_current")] + [

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from registry.book import query
@@ -13,7 +11,7 @@ from registry.observations import CLEAN, OBS, cleaned_observations, with_clean,
 from registry.records import BACKLOG, backlog
 from registry.views import PRED, observations, predictions, r, rounded, table
 from skygrain.operators import alerts as A, filters, monitoring as Q, samples as M
-from skygrain.sources.schemas import MODEL_FEATURES
+from skygrain.sources.schemas import MODEL_FEATURES, POINT_FIELDS, QUANTILE_FIELDS
 
 NOW, MINUTES = "1999-07-01 12:00:00", 60 * 24 * 90
 
@@ -59,12 +57,12 @@ def _ks_sql(col: str) -> str:
       FROM (SELECT {col} AS v, CAST(event_time >= TIMESTAMP '{SPLIT_DAY}' AS INTEGER) AS late FROM obs WHERE {col} IS NOT NULL) GROUP BY v))"""
 
 
-@query("ks_drift", with_obs(f"""SELECT {r(_ks_sql('temperature'), 'ks_score')},
-    count(*) FILTER (event_time >= TIMESTAMP '{SPLIT_DAY}') AS current_rows,
-    count(*) FILTER (event_time < TIMESTAMP '{SPLIT_DAY}') AS reference_rows FROM obs WHERE temperature IS NOT NULL"""))
+@query("ks_drift", with_obs(f"""SELECT {r('d', 'ks_score')}, n AS current_rows, m AS reference_rows, 'ks_test' AS method,
+    {r("CASE WHEN d * d * n * m / (n + m) < 0.04 THEN 1.0 ELSE least(greatest(list_sum([(CASE k % 2 WHEN 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * k * k * d * d * n * m / (n + m)) FOR k IN range(1, 101)]), 0.0), 1.0) END", 'p_value')}
+  FROM (SELECT {_ks_sql('temperature')} AS d, count(*) FILTER (event_time >= TIMESTAMP '{SPLIT_DAY}') AS n,
+    count(*) FILTER (event_time < TIMESTAMP '{SPLIT_DAY}') AS m FROM obs WHERE temperature IS NOT NULL)"""))
 def ks_drift(spark, sf_dir):
-    d = Q.ks_drift(*halves(observations(spark, sf_dir)), "temperature")
-    return rounded(d.select("ks_score", "current_rows", "reference_rows"))
+    return rounded(Q.ks_drift(*halves(observations(spark, sf_dir)), "temperature"))
 
 
 MEAN_DRIFT = f"""abs(avg(temperature) FILTER (event_time >= TIMESTAMP '{SPLIT_DAY}')
@@ -100,10 +98,32 @@ def range_violations(spark, sf_dir):
     return Q.range_violations(observations(spark, sf_dir))
 
 
-@query("main_prediction", with_pred(f"SELECT id, {r('main_prediction - 1.5', 'main_prediction')} FROM p"))
+@query("main_prediction", with_pred(f"""SELECT id, {r('main_prediction', 'of_both')},
+    {r('main_prediction - 1.5', 'of_median')}, NULL::DOUBLE AS of_neither FROM p"""))
 def main_prediction(spark, sf_dir):
-    quantiles = predictions(spark, sf_dir).select("id", (F.col("temperature_prediction") - 1.5).alias("temperature_p50"))
-    return rounded(Q.main_prediction(quantiles).select("id", "main_prediction"))
+    """Records with a point and a median, with a median only, and with neither."""
+    p = predictions(spark, sf_dir).withColumn("temperature_p50", F.col("temperature_prediction") - 1.5)
+    both = Q.main_prediction(p).withColumnRenamed("main_prediction", "of_both")
+    median = Q.main_prediction(both.drop("temperature_prediction")).withColumnRenamed("main_prediction", "of_median")
+    neither = Q.main_prediction(median.drop("temperature_p50"))
+    return rounded(neither.select("id", "of_both", "of_median", F.col("main_prediction").alias("of_neither")))
+
+
+def _fields_sql(kind: str, fields: tuple[str, ...]) -> str:
+    here = [f for f in fields if f in TIME_COLS.split(", ")]
+    gone = ",".join(f for f in fields if f not in here)
+    return f"""SELECT '{kind}' AS kind, {str(not gone).lower()} AS is_valid, '{gone}' AS missing_fields,
+        {r(f'{len(here)} * 100.0 / {len(fields)}', 'completeness')}, count(*) AS most_common FROM p"""
+
+
+@query("prediction_fields", with_pred(" UNION ALL ".join(
+    _fields_sql(k, f) for k, f in (("point", POINT_FIELDS), ("quantile", QUANTILE_FIELDS)))))
+def prediction_fields(spark, sf_dir):
+    """Point forecasts as JSON messages, checked for the fields of a point and of a quantile record."""
+    messages = predictions(spark, sf_dir).select(F.to_json(F.struct(*TIME_COLS.split(", "))).alias("value"))
+    found = [Q.schema_check(messages, f).withColumn("kind", F.lit(k))
+             for k, f in (("point", POINT_FIELDS), ("quantile", QUANTILE_FIELDS))]
+    return rounded(found[0].unionByName(found[1]))
 
 
 @query("stability", with_pred(f"SELECT {r('stddev_pop(main_prediction)', 'stability')} FROM p"))
@@ -221,9 +241,7 @@ STABILITY_ALERTS = f"""SELECT 'WARNING' AS level, 'Model' AS category,
 
 
 def drift_table(spark, sf_dir) -> DataFrame:
-    current, reference = halves(observations(spark, sf_dir))
-    parts = [Q.ks_drift(current, reference, c).select(F.lit(c).alias("feature"), "ks_score") for c in WATCHED]
-    return reduce(DataFrame.unionByName, parts)
+    return Q.ks_drifts(*halves(observations(spark, sf_dir)), WATCHED).select("feature", "ks_score")
 
 
 @query("backlog_alerts", f"{BACKLOG} {BACKLOG_ALERTS}")

@@ -47,9 +47,9 @@ def flatten_features(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def build_dataset_frame(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Flat rows with a parsed timestamp, sorted by it."""
+    """Flat rows with a parsed timestamp, sorted by it. A time that cannot be read gives null and does not stop the job."""
     flat = flatten_features(records, keep)
-    return flat.withColumn("timestamp", F.col("timestamp").cast("timestamp")).orderBy("timestamp", *keep)
+    return flat.withColumn("timestamp", F.col("timestamp").try_cast("timestamp")).orderBy("timestamp", *keep)
 
 
 def add_target(df: DataFrame, horizon: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

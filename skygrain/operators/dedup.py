@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from skygrain.plans.durable import materialize
-from skygrain.plans.skew import PART, TIE, cut_ranges, hot_keys, split_by_key
+from skygrain.plans.skew import PART, TIE, cut_ranges, hot_keys, ranges_for, split_by_key
 
 # Largest change of each variable that still counts as unchanged.
 TOLERANCES = {
@@ -147,7 +147,7 @@ def flag_unchanged(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if hot is None:
         return _flag_whole(df, keys, order, tol)
     big, rest = split_by_key(df, hot, keys)
-    return _flag_whole(rest, keys, order, tol).unionByName(_flag_ranges(big, keys, order, tol))
+    return _flag_whole(rest, keys, order, tol).unionByName(_flag_ranges(big, keys, order, tol, ranges_for(hot)))
 
 
 def _flagged(schema: T.StructType) -> T.StructType:
@@ -159,8 +159,9 @@ def _flag_whole(df: DataFrame, keys: Sequence[str], order: Sequence[str], tol: M
     return sorted_.mapInArrow(_fold(keys, tol, False, False), _flagged(df.schema))
 
 
-def _flag_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], tol: Mapping[str, float]) -> DataFrame:
-    ranges = cut_ranges(df, keys, order)
+def _flag_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], tol: Mapping[str, float],
+                 count: int) -> DataFrame:
+    ranges = cut_ranges(df, keys, order, count, shuffled=True)
     at, order = [*keys, PART], [*order, TIE]
     names = list(tol)
     end_schema = T.StructType(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skygrain.functions.values import PHYSICAL_LIMITS, outside
+from skygrain.plans.durable import materialize
 from skygrain.plans.prefix import exact_quantiles, running_totals
 
 # Goals drawn beside the stored scores.
@@ -20,28 +21,41 @@ KS_SERIES_TERMS = 100
 
 
 def ks_drift(current: DataFrame, reference: DataFrame, value: str) -> DataFrame:
-    """Two-sample Kolmogorov–Smirnov statistic, with the asymptotic p-value.
+    """Two-sample Kolmogorov–Smirnov statistic, with the asymptotic p-value."""
+    return ks_drifts(current, reference, [value]).drop("feature")
 
-    Equal values are counted per side first. The two distribution functions are then running totals over the
-    distinct values, summed range by range, so no task sees the whole sorted sample.
+
+def ks_drifts(current: DataFrame, reference: DataFrame, values: Sequence[str]) -> DataFrame:
+    """The statistic and p-value of several features, one row per feature, from one scan and one sort.
+
+    Equal values are counted per feature and side first. The two distribution functions are then running totals over
+    the distinct values, summed range by range, so no task sees a whole sorted sample. A feature without values on one
+    side has null scores.
     """
 
     def side(df: DataFrame, a: int, b: int) -> DataFrame:
-        v = df.select(F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-        return v.select("_v", F.lit(a).alias("_a"), F.lit(b).alias("_b"))
+        each = F.inline(F.array(*[
+            F.struct(F.lit(v).alias("feature"), F.col(v).cast("double").alias("_v")) for v in values]))
+        return df.select(each).filter(F.col("_v").isNotNull()).select(
+            "feature", "_v", F.lit(a).alias("_a"), F.lit(b).alias("_b"))
 
     counts = (
         side(current, 1, 0).unionByName(side(reference, 0, 1))
-        .groupBy("_v").agg(F.sum("_a").alias("a"), F.sum("_b").alias("b"))
+        .groupBy("feature", "_v").agg(F.sum("_a").alias("a"), F.sum("_b").alias("b"))
     )
-    ranked = running_totals(counts, [], ["_v"], ["a", "b"])
+    ranked = running_totals(counts, ["feature"], ["_v"], ["a", "b"], unique=True)
     gap = F.abs(
-        (F.col("a_before") + F.col("a")) / F.col("a_total") - (F.col("b_before") + F.col("b")) / F.col("b_total")
-    )
-    stat = ranked.agg(
-        F.max(gap).alias("ks_score"), F.max("a_total").alias("current_rows"), F.max("b_total").alias("reference_rows")
+        F.try_divide(F.col("a_before") + F.col("a"), F.col("a_total"))
+        - F.try_divide(F.col("b_before") + F.col("b"), F.col("b_total"))
     )
-    return stat.withColumn("p_value", ks_p_value()).withColumn("method", F.lit("ks_test"))
+    of = lambda v, x: F.max(F.when(F.col("feature") == v, x))
+    stats = ranked.agg(*[
+        F.struct(F.lit(v).alias("feature"), of(v, gap).alias("ks_score"), of(v, F.col("a_total")).alias("current_rows"),
+                 of(v, F.col("b_total")).alias("reference_rows")).alias(f"_{i}")
+        for i, v in enumerate(values)
+    ]).select(F.inline(F.array(*[f"_{i}" for i in range(len(values))])))
+    scored = F.when(F.col("ks_score").isNotNull(), ks_p_value())
+    return stats.withColumn("p_value", scored).withColumn("method", F.lit("ks_test"))
 
 
 def ks_p_value() -> Column:
@@ -161,15 +175,23 @@ def stream_status(df: DataFrame) -> DataFrame:
     return df.agg(F.when(F.count(F.lit(1)) > 0, "OK").otherwise("STOP").alias("status"))
 
 
-def per_minute_counts(df: DataFrame, time: str = "created_at") -> DataFrame:
+def per_minute_counts(df: DataFrame, time: str = "created_at", since: Column | None = None,
+                      until: Column | None = None) -> DataFrame:
     """Messages per minute from the first to the last minute, with zeros for empty minutes.
 
-    Counts are combined before the shuffle. The minutes come from a distributed range; only its two ends reach the
-    driver.
+    ``since`` and ``until`` (included) bound the report, so that a stray time cannot stretch it over centuries. One
+    scan: the counts per minute are combined, written, and also give the two ends; the minutes come from a distributed
+    range.
     """
     minute = F.floor(F.unix_micros(F.col(time).cast("timestamp")) / F.lit(60_000_000)).cast("long")
-    counts = df.filter(F.col(time).isNotNull()).groupBy(minute.alias("minute_no")).agg(F.count(F.lit(1)).alias("n"))
-    ends = df.agg(F.min(minute).alias("lo"), F.max(minute).alias("hi")).first()
+    rows = df.filter(F.col(time).isNotNull())
+    if since is not None:
+        rows = rows.filter(F.col(time) >= since)
+    if until is not None:
+        rows = rows.filter(F.col(time) <= until)
+    counts = materialize(
+        rows.groupBy(minute.alias("minute_no")).agg(F.count(F.lit(1)).alias("n")), "minute-counts")
+    ends = counts.agg(F.min("minute_no").alias("lo"), F.max("minute_no").alias("hi")).first()
     if ends["lo"] is None:
         return counts.select(F.lit(None).cast("timestamp").alias("minute"), "n").limit(0)
     every = df.sparkSession.range(ends["lo"], ends["hi"] + 1).withColumnRenamed("id", "minute_no")

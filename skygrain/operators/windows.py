@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from skygrain.plans.durable import materialize
+
 PLACE = ("latitude", "longitude")
 
 
@@ -99,15 +101,10 @@ def join_windows_within(one: DataFrame, three: DataFrame, six: DataFrame, keys:
     return out
 
 
-def rolled_up_windows(df: DataFrame, keys: Sequence[str] = PLACE, time: str = "event_time",
-                      arrival: str = "id") -> DataFrame:
-    """The result of ``join_windows_containing`` from one scan of the observations.
-
-    3- and 6-hour figures are merged from the 1-hour rows. Both window partitions are satisfied by one shuffle on
-    (place, 6-hour start), and a group holds at most six rows.
-    """
+def _hourly_parts(df: DataFrame, keys: Sequence[str], time: str, arrival: str) -> DataFrame:
+    """1-hour windows with what coarser windows need: readings, variance, arrival of the first and last, their starts."""
     at = F.when(F.col("temperature").isNotNull(), F.col(arrival))
-    hourly = (
+    return (
         df.groupBy(*keys, F.window(time, "1 hour"))
         .agg(
             *window_aggregates(1, arrival, True),
@@ -122,6 +119,40 @@ def rolled_up_windows(df: DataFrame, keys: Sequence[str] = PLACE, time: str = "e
         .withColumn("start_6h", containing(F.col("window_start"), 6))
         .withColumn("start_3h", containing(F.col("window_start"), 3))
     )
+
+
+def tumbling_from_hourly(df: DataFrame, keys: Sequence[str] = PLACE, time: str = "event_time",
+                         arrival: str = "id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The 1-, 3- and 6-hour tables of ``tumbling`` from one scan: the 1-hour rows are written, the others merge them."""
+    hourly = materialize(_hourly_parts(df, keys, time, arrival), "hourly-windows")
+    coarse = []
+    for h in (3, 6):
+        n, mean = F.sum("_n"), F.sum(F.col("_n") * F.col("temp_mean_1h"))
+        merged = hourly.groupBy(*keys, F.col(f"start_{h}h").alias("window_start")).agg(
+            n.alias("_n"), F.try_divide(mean, n).alias(f"temp_mean_{h}h"),
+            F.collect_list(F.struct("_n", "_var", "temp_mean_1h")).alias("_parts"),  # at most h entries
+            F.min("temp_min_1h").alias(f"temp_min_{h}h"), F.max("temp_max_1h").alias(f"temp_max_{h}h"),
+            F.max_by("temp_last", "_last_at").alias("temp_last"), F.min_by("temp_first", "_first_at").alias("temp_first"),
+        )
+        apart = F.aggregate("_parts", F.lit(0.0), lambda total, x: total + F.coalesce(
+            x["_n"] * (x["_var"] + F.pow(x["temp_mean_1h"] - F.col(f"temp_mean_{h}h"), 2)), F.lit(0.0)))
+        coarse.append(merged.select(
+            *keys, "window_start", (F.col("window_start") + F.expr(f"INTERVAL {h} HOURS")).alias("window_end"),
+            f"temp_mean_{h}h", F.when(F.col("_n") > 1, F.sqrt(apart / (F.col("_n") - 1))).alias(f"temp_std_{h}h"),
+            f"temp_min_{h}h", f"temp_max_{h}h", "temp_last", "temp_first",
+        ))
+    one = hourly.drop("_n", "_var", "_first_at", "_last_at", "start_3h", "start_6h")
+    return one, coarse[0], coarse[1]
+
+
+def rolled_up_windows(df: DataFrame, keys: Sequence[str] = PLACE, time: str = "event_time",
+                      arrival: str = "id") -> DataFrame:
+    """The result of ``join_windows_containing`` from one scan of the observations.
+
+    3- and 6-hour figures are merged from the 1-hour rows. Both window partitions are satisfied by one shuffle on
+    (place, 6-hour start), and a group holds at most six rows.
+    """
+    hourly = _hourly_parts(df, keys, time, arrival)
     six = Window.partitionBy(*keys, "start_6h")
     three = Window.partitionBy(*keys, "start_6h", "start_3h")
     out = hourly

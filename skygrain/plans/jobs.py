@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skygrain.operators import dataset as D
 from skygrain.operators.features import engineer_features_batch
@@ -54,7 +54,10 @@ def _finish(records: DataFrame, output: str, horizon: int, existing: str | None)
     done = D.add_target(merged, horizon, PLACE, ["timestamp", *OBSERVED])
     folder = f"{output.rstrip('/')}/{uuid.uuid4().hex}"
     save_dataset(done, folder)
-    return folder, D.target_validity(_saved(spark, folder), f"target_temperature_horizon_{horizon}h")
+    saved = _saved(spark, folder)
+    report = D.target_validity(saved, f"target_temperature_horizon_{horizon}h")
+    return folder, report.withColumn(
+        "unreadable_times", saved.agg(F.count_if(F.col("timestamp").isNull()).alias("n")).scalar())
 
 
 def train_models(hourly: DataFrame, directory: str, keys: Sequence[str], order: Sequence[str], time: str,

@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from skygrain.plans.skew import PART, TIE, cut_ranges
 
 
-def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], measures: Sequence[str]) -> DataFrame:
+def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], measures: Sequence[str],
+                   unique: bool = False) -> DataFrame:
     """Add ``{m}_before`` (sum over earlier rows) and ``{m}_total`` (sum over the group) for each measure.
 
     The rows are sorted over the cluster; each range sums its own rows and adds the totals of the ranges before it.
-    ``by`` may be empty (one global order). The per-range totals are at most (groups + ranges) rows.
+    ``by`` may be empty (one global order). The per-range totals are at most (groups + ranges) rows. ``unique`` says
+    that (by, order) names a row.
     """
-    ranges = cut_ranges(df, by, order)
+    ranges = cut_ranges(df, by, order, unique=unique, shuffled=True)
     whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier_ranges = whole.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     sums = ranges.groupBy(*by, PART).agg(*[F.sum(m).alias(f"_{m}") for m in measures])
@@ -53,7 +55,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
         .groupBy(*by, "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranked = running_totals(counts, by, ["_v"], ["_c"])
+    ranked = running_totals(counts, by, ["_v"], ["_c"], unique=True)
     last = F.col("_c_total") - 1
 
     def at(position: Column) -> Column:

@@ -7,6 +7,7 @@ neighbouring rows that its frames can reach, so that the results equal those of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
@@ -21,6 +22,7 @@ TIE = "_tie"
 OWN = "_own_row"
 ROW_NO = "_row_no"
 GROUP_ROWS = "_group_rows"
+HOT_COUNT = "_hot_rows"
 
 Build = Callable[[DataFrame, WindowSpec], DataFrame]
 
@@ -30,12 +32,12 @@ def hot_rows(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """Keys with more rows than one task should sort, or None when there are none.
+    """Keys with more rows than one task should sort, and their row counts; None when there are none.
 
     There are at most (rows / limit) such keys. The table is written, so its joins are planned by its size.
     The count reads only the key columns and is combined before its shuffle.
     """
-    over = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows(df)).select(*keys)
+    over = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(HOT_COUNT)).filter(F.col(HOT_COUNT) > hot_rows(df))
     if over.isEmpty():
         return None
     return materialize(over, "hot-keys")
@@ -55,15 +57,30 @@ def split_by_key(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[Da
     return left.join(right, cond, "left_semi"), left.join(right, cond, "left_anti")
 
 
-def cut_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def ranges_for(hot: DataFrame) -> int:
+    """How many ranges keep the hot keys' rows at ``HOT_ROWS`` a task, and no fewer than the session's partitions."""
+    total = hot.agg(F.coalesce(F.sum(HOT_COUNT), F.lit(0))).first()[0]
+    least = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, math.ceil(total / hot_rows(hot)))
+
+
+def cut_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], count: int | None = None,
+               unique: bool = False, shuffled: bool = False) -> DataFrame:
     """Sort by (keys, order) over the cluster, note each row's range, and write the result.
 
     The cut points are sampled, so the table is written before anything relies on the range numbers. ``_tie`` makes
-    the order total: many copies of one row are spread over several ranges too.
+    the order total: many copies of one row are spread over several ranges too. With ``unique`` the order is total
+    already. ``shuffled`` input may be numbered differently when a lost task is run again, which could lose or double
+    a tied row between ranges, so its numbered rows are written first. ``count`` sets the number of ranges.
     """
-    numbered = df.withColumn(TIE, F.monotonically_increasing_id())
-    cut = numbered.repartitionByRange(*keys, *order, TIE).withColumn(PART, F.spark_partition_id())
-    return materialize(cut, "ranges")
+    if unique:
+        numbered, by = df.withColumn(TIE, F.lit(0).cast("long")), [*keys, *order]
+    else:
+        numbered, by = df.withColumn(TIE, F.monotonically_increasing_id()), [*keys, *order, TIE]
+        if shuffled:
+            numbered = materialize(numbered, "numbered")
+    ranged = numbered.repartitionByRange(count, *by) if count else numbered.repartitionByRange(*by)
+    return materialize(ranged.withColumn(PART, F.spark_partition_id()), "ranges")
 
 
 def range_offsets(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -128,7 +145,7 @@ def ordered_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], build
     if hot is None:
         return _whole_windows(df, keys, order, build, numbered)
     big, rest = split_by_key(df, hot, keys)
-    done = _range_windows(big, keys, order, build, back, ahead, numbered)
+    done = _range_windows(big, keys, order, build, back, ahead, numbered, ranges_for(hot))
     return _whole_windows(rest, keys, order, build, numbered).unionByName(done)
 
 
@@ -143,8 +160,8 @@ def _whole_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], bui
 
 
 def _range_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], build: Build, back: int, ahead: int,
-                   numbered: bool) -> DataFrame:
-    ranges = cut_ranges(df, keys, order)
+                   numbered: bool, count: int) -> DataFrame:
+    ranges = cut_ranges(df, keys, order, count, shuffled=True)
     offsets = range_offsets(ranges, keys)
     own = ranges
     if numbered:

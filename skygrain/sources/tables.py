@@ -16,12 +16,12 @@ HOURLY_NAMES = {
 
 
 def explode_hourly(df: DataFrame, keep: Sequence[str] = (), sort: bool = False) -> DataFrame:
-    """A struct of parallel arrays to one row per hour, renamed, with a parsed time."""
+    """A struct of parallel arrays to one row per hour, renamed, with a parsed time (null where it cannot be read)."""
     arrays = [F.coalesce(F.col(f"hourly.{c}"), F.array()).alias(c) for c in HOURLY_NAMES.values()]
     zipped = F.arrays_zip(F.col("hourly.time"), *arrays)
     rows = df.select(*keep, F.inline(zipped).alias("time", *HOURLY_NAMES.values()))
     out = rows.select(
-        *keep, F.col("time").cast("timestamp_ntz").alias("timestamp"),
+        *keep, F.col("time").try_cast("timestamp_ntz").alias("timestamp"),
         *[F.col(c).alias(n) for n, c in HOURLY_NAMES.items()],
     )
     return out.orderBy("timestamp") if sort else out
@@ -43,7 +43,7 @@ def load_existing(spark: SparkSession, path: str) -> DataFrame | None:
     if df is None:
         return None
     if "timestamp" in df.columns and dict(df.dtypes)["timestamp"] not in ("timestamp", "timestamp_ntz"):
-        df = df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        df = df.withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
     return df
 
 

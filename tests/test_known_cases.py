@@ -417,6 +417,33 @@ def test_bins_of_empty_minutes(spark):
     assert [r["message_count"] for r in got] == [1, 0, 2]
 
 
+def test_a_stray_time_does_not_stretch_the_minutes(spark):
+    df = spark.createDataFrame([("1970-01-01 00:00:00",), ("2024-01-01 00:00:10",), ("2024-01-01 00:02:50",)], "t STRING")
+    times = df.withColumn("created_at", F.col("t").cast("timestamp"))
+    got = Q.per_minute_counts(times, since=F.lit("2024-01-01").cast("timestamp")).orderBy("minute").collect()
+    assert [r["message_count"] for r in got] == [1, 0, 1]
+    assert Q.per_minute_counts(times, until=F.lit("1960-01-01").cast("timestamp")).count() == 0
+
+
+def test_drift_of_several_features_at_once(spark):
+    now = spark.createDataFrame([(1.0, None), (2.0, None), (5.0, None)], "a DOUBLE, b DOUBLE")
+    then = spark.createDataFrame([(1.0, 1.0), (1.5, 2.0), (None, 3.0)], "a DOUBLE, b DOUBLE")
+    got = {r["feature"]: r for r in Q.ks_drifts(now, then, ["a", "b"]).collect()}
+    assert math.isclose(got["a"]["ks_score"], 2 / 3) and (got["a"]["current_rows"], got["a"]["reference_rows"]) == (3, 2)
+    assert got["b"]["ks_score"] is None and got["b"]["p_value"] is None and got["b"]["reference_rows"] == 3
+    assert Q.ks_drift(now.limit(0), then.limit(0), "a").first()["ks_score"] is None
+
+
+def test_an_unreadable_time_does_not_stop_a_dataset(spark):
+    from skygrain.sources.tables import explode_hourly
+
+    hourly = "struct<time:array<string>,temperature_2m:array<double>,relative_humidity_2m:array<int>," \
+        "wind_speed_10m:array<double>,pressure_msl:array<double>,cloud_cover:array<int>,precipitation:array<double>>"
+    df = spark.createDataFrame([((["2024-01-01T00:00", "soon"], [1.0, 2.0], None, None, None, None, None),)], f"hourly {hourly}")
+    rows = sorted(explode_hourly(df).collect(), key=lambda x: x["temperature"])
+    assert rows[0]["timestamp"] is not None and rows[1]["timestamp"] is None
+
+
 def test_removed_rows(spark):
     df = spark.createDataFrame([(20.0, 50), (99.0, 50), (None, 50), (20.0, 101)], "temperature DOUBLE, humidity INT")
     assert filters.physical_range_filter(df).count() == 1
