@@ -11,11 +11,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skygrain.llm import deobfuscate, texts
+from skygrain.llm.minhash import shingles
+from skygrain.plans.durable import materialize
 
 SAMPLE_PER_CLASS = 10_000  # labelled texts of each class that the classifier learns from, taken in order of a hash
 LEAST_EVIDENCE = 14.0  # log-likelihood ratio against chance that a feature needs
 LEAST_PRECISION = 0.9  # estimated share of toxic texts among those with a feature that it needs
 PREFIXES = (3, 4, 5, 6)
+SKETCHES = 3  # near copies of a learned text share one of these minima nearly always, and count once
 
 
 def features(data: np.ndarray, offsets: np.ndarray, restorer: deobfuscate.Restorer) -> tuple[np.ndarray, np.ndarray]:
@@ -48,6 +51,28 @@ def _spelled(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, row
 
 
+def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ``s0, s1, ...``: minima of the text's five-word shingles under several maps."""
+    factors = texts.mix(np.arange(101, 101 + SKETCHES, dtype=np.uint64)) | np.uint64(1)
+    for batch in batches:
+        found = [s for _, _, data, offsets in texts.blocks(batch.column("text")) for s in shingles(data, offsets, 5)]
+        least = [np.array([texts.mix(s * f).min() if len(s) else 0 for s in found], np.uint64) for f in factors]
+        yield pa.record_batch({
+            "text": batch.column("text"), "toxic": batch.column("toxic"),
+            **{f"s{i}": pa.array(x.view(np.int64)) for i, x in enumerate(least)}})
+
+
+def apart(sample: DataFrame) -> DataFrame:
+    """One text of each class among near copies (``text, toxic``), so that a much copied text is one piece of evidence."""
+    names = [f"s{i}" for i in range(SKETCHES)]
+    kept = sample.select("text", "toxic").mapInArrow(
+        _sketch, "text string, toxic int, " + ", ".join(f"{n} long" for n in names))
+    for n in names:
+        row = F.struct("text", *[x for x in names if x != n])
+        kept = kept.groupBy(n, "toxic").agg(F.min_by(row, F.xxhash64("text")).alias("row")).select(n, "toxic", "row.*")
+    return kept.select("text", "toxic")
+
+
 def _count_features(shared):
     """Texts of each class that hold a feature."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,8 +111,9 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from ``labels`` (doc_id, toxic); the character model learns from all texts of ``docs``.
 
-    The classifier learns from at most ``SAMPLE_PER_CLASS`` labelled texts per class; the prior uses all labels. A
-    feature counts if it is far likelier in toxic texts than chance allows, and adds its log-odds.
+    The classifier learns from at most ``SAMPLE_PER_CLASS`` labelled texts per class, near copies counted once; the
+    prior scales their numbers to all labels. A feature counts if it is far likelier in toxic texts than chance allows,
+    and adds its log-odds.
     """
     spark = docs.sparkSession
     texts_only = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -99,16 +125,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     order = F.xxhash64("doc_id"), F.col("doc_id")
     parts = [clean_labels.filter(F.col("toxic") == y).orderBy(*order).limit(SAMPLE_PER_CLASS) for y in (0, 1)]
     sample = F.broadcast(parts[0].unionByName(parts[1]))  # at most 2 * SAMPLE_PER_CLASS rows of two numbers
-    chosen = (  # copies of one text are one piece of evidence
+    chosen = materialize(apart(
         texts_only.join(sample, "doc_id").filter("text is not null")
         .groupBy(F.sha2("text", 256)).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
-    )
+    ), "toxicity-sample")
     sizes = {r.toxic: r.n for r in clean_labels.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_toxic, n_clean = (min(sizes.get(y, 0), SAMPLE_PER_CLASS) for y in (1, 0))
+    learned = {r.toxic: r.n for r in chosen.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_toxic, n_clean = (learned.get(y, 0) for y in (1, 0))
     none = np.zeros(0)
     if not n_toxic or not n_clean:
-        return Model(characters, -20.0 if n_clean or not n_toxic else 20.0, none.astype(np.uint64), none)
-    prior = math.log(sizes[1] / sizes[0])
+        only_toxic = sizes.get(1, 0) and not sizes.get(0, 0)
+        return Model(characters, 20.0 if only_toxic else -20.0, none.astype(np.uint64), none)
+    labelled = lambda y, n: n * max(1.0, sizes[y] / SAMPLE_PER_CLASS)
+    prior = math.log(labelled(1, n_toxic) / labelled(0, n_clean))
     counted = chosen.select("text", "toxic").mapInArrow(
         _count_features(spark.sparkContext.broadcast(characters)), "feature long, toxic long, clean long"
     ).groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))

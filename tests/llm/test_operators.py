@@ -258,3 +258,15 @@ def test_empty_tables(spark, docs):
     assert packing.pack(none).count() == 0
     vectors_none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_vectors(vectors_none).count() == 0
+
+
+def test_a_much_copied_toxic_text_is_one_piece_of_evidence(spark):
+    words = [f"plain{i % 37} word{i % 11} here{i}" for i in range(1, 100)]
+    rows = [(i, f"{w} and more of it" + (" vile" if i % 3 == 0 else "")) for i, w in enumerate(words, 1)]
+    body = " ".join(f"body{j}" for j in range(200))
+    rows += [(1000 + i, f"{body} oddity tail{i} vile") for i in range(60)]
+    docs = frame(spark, [*rows, (3000, "an oddity of nature"), (3001, "so vile")])
+    labels = spark.createDataFrame([(i, int("vile" in t)) for i, t in rows], "doc_id long, toxic int")
+    assert toxicity.apart(spark.createDataFrame([(t, 1) for _, t in rows], "text string, toxic int")).count() < 110
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels, F.lit(False)).collect()}
+    assert (got[3000].predicted, got[3001].predicted) == (0, 1)
