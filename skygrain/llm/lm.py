@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skygrain.llm import elias, texts
 from skygrain.plans.durable import materialize
 
 END = np.uint64(0x454E44)  # the token after the last word of every text
-TABLE_SHARE = 1e-7  # words above this share of all tokens are looked up in the tasks: at most 1 / share of them
-TRIE_SHARE = 1e-5  # words of the trie; the others are one class there
-GRAM_SHARE = 5e-7  # bigrams and trigrams above this share of the training tokens enter the trie
+RARE, START = np.uint64(0x52415245), np.uint64(0x5354415254)  # the class of words outside the trie; before a text
+LEAST = 2  # words, bigrams and trigrams that occur so often in the training rows are learned
+BLOCK_BYTES = 4_000_000  # text that one block holds
+SHARD_KEYS = 400_000  # tokens of the corpus for one shard
+QUARTERS = 4  # discounted counts are sent as whole numbers of quarters
+LOWEST = -12.0  # log10 of the least of the 256 levels of a block's trie
 DISCOUNT = 0.75
 
 
@@ -34,43 +37,159 @@ def tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         yield first, end, out, rows
 
 
-def _count_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tally = texts.Tally(2)
+def _lay(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of texts, one row each: the texts' ids and token numbers, the block's words and the word of each token."""
+    made = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for first, end, _, _ in texts.blocks(batch.column("text"), BLOCK_BYTES):
+            found = [(h, r + at) for at, _, h, r in tokens(batch.column("text").slice(first, end - first))]
+            hashes, row = (np.concatenate(x) for x in zip(*found))
+            words, code = np.unique(hashes, return_inverse=True)
+            part, n = batch.slice(first, end - first), end - first
+            yield pa.record_batch({
+                "block": pa.array([made], pa.int64()),
+                "doc_id": pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), part.column("doc_id")),
+                "held_out": pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), part.column("held_out")),
+                "n_tokens": texts.lists(np.bincount(row, minlength=n), np.array([n]), pa.int64()),
+                "words": pa.array([words.tobytes()], pa.binary()),
+                "codes": pa.array([code.astype(np.int32).tobytes()], pa.binary()),
+            })
+            made += 1
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 in the fewest bytes each."""
+    width = np.min_scalar_type(values.max()).itemsize if len(values) else 1
+    return bytes([width]) + values.astype(f"u{width}").tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"u{raw[0]}", offset=1).astype(np.int64)
+
+
+class Block:
+    """A row of ``_lay`` and what follows from the answers it has: ``in_words``, ``in_pairs``, ``in_triples``."""
+
+    def __init__(self, row: dict):
+        self.block, self.doc_id, self.held_out = row["block"].as_py(), row["doc_id"], row["held_out"]
+        self.n_tokens = row["n_tokens"].values.to_numpy()
+        self.words = np.frombuffer(row["words"].as_py(), np.uint64)
+        self.code = np.frombuffer(row["codes"].as_py(), np.int32)
+        self.row = np.repeat(np.arange(len(self.n_tokens)), self.n_tokens)
+        self.learn = (~np.array(self.held_out.as_py(), bool)[self.row]).astype(float)
+        for name, add in (("words", self._words), ("pairs", self._pairs), ("triples", self._triples)):
+            if f"in_{name}" not in row:
+                break
+            add(row[f"in_{name}"].as_py())
+
+    def answer(self, raw: bytes | None, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sum, whether this block is the one that reports it) of each key; answers come in order of the keys."""
+        out = np.zeros(len(keys), np.int64)
+        if len(keys):
+            out[np.argsort(keys)] = np.frombuffer(raw, np.int64)
+        return out >> 1, (out & 1) > 0
+
+    def _words(self, raw: bytes) -> None:
+        """Local ids: the block's words of the trie in order of their hashes, the class of all others, the start."""
+        self.counts, _ = self.answer(raw, self.words)
+        self.inside = self.counts >= LEAST
+        self.rare = int(self.inside.sum())
+        self.start, self.size = self.rare + 1, self.rare + 2
+        self.hashes = np.append(self.words[self.inside], [RARE, START])
+        self.w = np.where(self.inside, np.cumsum(self.inside) - 1, self.rare)[self.code]
+        self.before = _before(self.w, self.row, self.start)
+        self.fresh = np.ones(len(self.row), bool)
+        self.fresh[1:] = self.row[1:] != self.row[:-1]
+        self.pairs, self.pair_of = np.unique(self.before * self.size + self.w, return_inverse=True)
+        self.pair_keys = _longer(self.hashes[self.pairs // self.size], self.hashes[self.pairs % self.size])
+
+    def _pairs(self, raw: bytes) -> None:
+        """A trigram can be known only where both of its bigrams are."""
+        self.pair_n, self.pair_once = self.answer(raw, self.pair_keys)
+        known = (self.pair_n > 0)[self.pair_of]
+        self.later = 1 + np.flatnonzero(known[1:] & known[:-1] & ~self.fresh[1:])
+        self.triples, self.triple_of = np.unique(
+            self.pair_of[self.later - 1] * self.size + self.w[self.later], return_inverse=True)
+        self.triple_keys = _longer(self.pair_keys[self.triples // self.size], self.hashes[self.triples % self.size])
+
+    def _triples(self, raw: bytes | None) -> None:
+        self.triple_n, self.triple_once = self.answer(raw, self.triple_keys)
+        self.context_keys = np.append(self.hashes, self.pair_keys[self.pair_n > 0])
+
+    def asks(self, name: str) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, what this block adds to the sum of each)"""
+        if name == "words":
+            return self.words, np.bincount(self.code, self.learn, len(self.words))
+        if name == "pairs":
+            return self.pair_keys, np.bincount(self.pair_of, self.learn, len(self.pairs))
+        if name == "triples":
+            return self.triple_keys, np.bincount(self.triple_of, self.learn[self.later], len(self.triples))
+        given = lambda n, once, parent, of: np.bincount(
+            parent[once], (n[once] - DISCOUNT) * QUARTERS, of)
+        by_word = given(self.pair_n, self.pair_once, self.pairs // self.size, self.size)
+        by_pair = given(self.triple_n, self.triple_once, self.triples // self.size, len(self.pairs))
+        return self.context_keys, np.append(by_word, by_pair[self.pair_n > 0])
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {n: batch.column(n)[i] for n in batch.schema.names}
 
-    def flush() -> pa.RecordBatch:
-        keys, sums = tally.take()
-        return pa.record_batch({"h": pa.array(keys.view(np.int64)), "n": pa.array(sums[0]), "c": pa.array(sums[1])})
 
-    for batch in batches:
-        learn = ~np.array(batch.column("held_out").to_pylist(), bool)
-        for first, end, hashes, row in tokens(batch.column("text")):
-            tally.add(hashes, np.ones(len(hashes)), learn[first:end][row].astype(float))
-            if tally.full():
-                yield flush()
-    yield flush()
+def _longer(gram: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """64-bit hash of an n-gram with one more word."""
+    return texts.mix(texts.mix(gram) * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-@dataclass
-class Vocabulary:
-    """Trie words by hash: ids follow the sorted hashes; then the class of all other words, then the start."""
+def _send(name: str, bits: int):
+    """A block's keys and counts, cut by the keys' first bits."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            block = Block(row)
+            keys, n = block.asks(name)
+            order = np.argsort(keys)
+            keys, n = keys[order], n[order].astype(np.int64)
+            shard, at = np.unique(keys >> np.uint64(64 - bits), return_index=True)
+            cuts = list(zip(at, [*at[1:], len(keys)]))
+            yield pa.record_batch({
+                "shard": pa.array(shard.astype(np.int64)), "block": pa.array(np.full(len(shard), block.block)),
+                "keys": pa.array([keys[i:j].tobytes() for i, j in cuts], pa.binary()),
+                "n": pa.array([_pack(n[i:j]) for i, j in cuts], pa.binary())})
 
-    hashes: np.ndarray
+    return run
 
-    @property
-    def rare(self) -> int:
-        return len(self.hashes)
 
-    @property
-    def start(self) -> int:
-        return len(self.hashes) + 1
+def _add_up(least: int):
+    """Sums over all blocks of one shard's keys, given back to each block in the order it sent them.
 
-    @property
-    def size(self) -> int:
-        return len(self.hashes) + 2
+    The first row carries totals over the different keys: their sums, how many are above 0, how many and how much of
+    the sums reach ``LEAST``, how many are 1.
+    """
+    def run(chunks: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(x.as_py(), np.uint64) for x in chunks.column("keys")]
+        n = np.concatenate([_unpack(x.as_py()) for x in chunks.column("n")])
+        uniq, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        sums = np.bincount(at, n, len(uniq)).astype(np.int64)
+        high = sums >= LEAST
+        totals = [sums.sum(), (sums > 0).sum(), high.sum(), sums[high].sum(), (sums == 1).sum()]
+        answer = np.where(sums >= least, sums, 0)[at] * 2
+        answer[first] += sums >= least
+        ends = np.cumsum([len(k) for k in keys])
+        return pa.table({
+            "block": chunks.column("block"), "shard": chunks.column("shard"),
+            "sums": pa.array([_pack(answer[j - len(k) : j]) for k, j in zip(keys, ends)], pa.binary()),
+            "totals": pa.array([[int(x) for x in totals], *[[0] * 5] * (len(keys) - 1)], pa.list_(pa.int64()))})
 
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        at, found = texts.find(self.hashes, hashes)
-        return np.where(found, at, self.rare)
+    return run
+
+
+def _together(answers: pa.Table) -> pa.Table:
+    """One row of a block's answers, in order of the shards."""
+    order = np.argsort(answers.column("shard").to_numpy())
+    raw = answers.column("sums").to_pylist()
+    joined = np.concatenate([_unpack(raw[i]) for i in order]).astype(np.int64)
+    return pa.table({"block": answers.column("block").slice(0, 1), "sums": pa.array([joined.tobytes()], pa.binary())})
 
 
 def _before(ids: np.ndarray, row: np.ndarray, start: int) -> np.ndarray:
@@ -83,34 +202,6 @@ def _before(ids: np.ndarray, row: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
-def _count_grams(shared, with_pairs):
-    """Bigrams, or trigrams both of whose bigrams are kept: (g, n), combined within the task."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value)
-        pairs = with_pairs.value if with_pairs is not None else None
-        tally = texts.Tally()
-
-        def flush() -> pa.RecordBatch:
-            keys, sums = tally.take()
-            return pa.record_batch({"g": pa.array(keys), "n": pa.array(sums[0])})
-
-        for batch in batches:
-            for _, _, hashes, row in tokens(batch.column("text")):
-                w = vocabulary.ids(hashes)
-                key = _before(w, row, vocabulary.start) * vocabulary.size + w
-                if pairs is not None:
-                    at, known = texts.find(pairs, key)
-                    both = known[1:] & known[:-1] & (row[1:] == row[:-1])
-                    key = (at[:-1] * vocabulary.size + w[1:])[both]
-                tally.add(key)
-                if tally.full():
-                    yield flush()
-        keys, sums = tally.take()
-        yield pa.record_batch({"g": pa.array(keys.astype(np.int64)), "n": pa.array(sums[0])})
-
-    return run
-
-
 def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(8-bit codes, code book): 256 bins of equally many values, each read back as its mean."""
     if not len(values):
@@ -122,21 +213,34 @@ def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes, (np.bincount(codes, values, 256) / np.maximum(n, 1)).astype(np.float32)
 
 
+def to_levels(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(8-bit codes, code book) of log10 values on fixed levels, so that tries of different blocks agree."""
+    codes = np.clip(np.rint(values * (255 / LOWEST)), 0, 255).astype(np.uint8)
+    return codes, np.linspace(0, LOWEST, 256, dtype=np.float32)
+
+
 def build_trie(counts: np.ndarray, texts_n: int, pairs: np.ndarray, pair_n: np.ndarray, triples: np.ndarray,
-               triple_n: np.ndarray) -> dict[str, np.ndarray]:
+               triple_n: np.ndarray, whole: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+               ) -> dict[str, np.ndarray]:
     """The trie's levels as flat arrays.
 
     ``counts``: of the trie words, then of the class of all others. ``pairs`` are sorted keys (previous id x size +
     id); ``triples`` are sorted keys (position of the first two among the pairs x size + id). Interpolated absolute
     discounting; what is not kept leaves its mass to the shorter context, so each context's distribution sums to one
     before quantising. Level 3 holds, for the pair (u, v), the words by their place among the successors of v.
+
+    ``whole``, for the part of a trie that a block of texts can meet: probabilities of the words, and the mass left to
+    the shorter context by each word and by each pair, as the whole corpus has them.
     """
     size = len(counts) + 1
+    code = quantise if whole is None else to_levels
     p1 = np.append((counts + 0.5) / (counts.sum() + 0.5 * len(counts)), 1e-99)
     before, word = pairs // size, pairs % size
     context = np.append(counts, texts_n).astype(float)
     share2 = (pair_n - DISCOUNT) / context[before]
     back1 = np.clip(1 - np.bincount(before, share2, size), 1e-9, None)
+    if whole is not None:
+        p1, back1 = np.append(whole[0], 1e-99), whole[1]
     p2 = share2 + back1[before] * p1[word]
     starts = np.searchsorted(before, np.arange(size + 1))
     widest = max(1, int(np.diff(starts).max()))
@@ -144,7 +248,7 @@ def build_trie(counts: np.ndarray, texts_n: int, pairs: np.ndarray, pair_n: np.n
     middle = word[head] if len(head) else head
     tail = np.searchsorted(pairs, middle * size + last)
     share3 = (triple_n - DISCOUNT) / pair_n[head] if len(head) else np.zeros(0)
-    back2 = np.clip(1 - np.bincount(head, share3, len(pairs)), 1e-9, None)
+    back2 = np.clip(1 - np.bincount(head, share3, len(pairs)), 1e-9, None) if whole is None else whole[2]
     p3 = share3 + back2[head] * p2[tail] if len(head) else np.zeros(0)
     place = tail - starts[middle] if len(head) else tail
     third = head * widest + place
@@ -157,7 +261,7 @@ def build_trie(counts: np.ndarray, texts_n: int, pairs: np.ndarray, pair_n: np.n
     ):
         out |= {f"{name}.{k}": v for k, v in parts.items()}
     for name, values in (("p1", p1), ("b1", back1), ("p2", p2), ("b2", back2), ("p3", p3[order])):
-        out[name], out[f"{name}.book"] = quantise(np.log10(values))
+        out[name], out[f"{name}.book"] = code(np.log10(values))
     return out
 
 
@@ -188,46 +292,40 @@ class Trie:
         return out
 
 
-def _score(shared):
-    """Sums per text over the tokens of the table; the other words are left in ``rest`` with their counts."""
+def _score(facts: dict):
+    """Scores of the texts of blocks that have all their answers."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        facts = shared.value
-        vocabulary = Vocabulary(facts["vocabulary"])
-        trie = Trie(elias.mapped(*facts["trie"]), vocabulary.size) if facts["trie"] else None
-        table, count, total = facts["table"], facts["table_n"], facts["total"]
-        for batch in batches:
-            for first, end, hashes, row in tokens(batch.column("text")):
-                n = end - first
-                at, listed = texts.find(table, hashes)
-                c = np.where(listed, count[at] if len(count) else 0, 0)
-                base = np.where(listed, np.log10((c + 1) / total), 0.0)
-                score = base
-                if trie is not None:
-                    w = vocabulary.ids(hashes)
-                    fresh = np.ones(len(row), bool)
-                    fresh[1:] = row[1:] != row[:-1]
-                    score = trie.score(w, _before(w, row, vocabulary.start), fresh)
-                    inside = np.where(c > 0, np.log10(np.maximum(c, 1)) + facts["seen"], facts["new"])
-                    score = score + np.where((w == vocabulary.rare) & listed, inside, 0.0)
-                rest = np.flatnonzero(~listed)
-                pair = np.empty(len(rest), [("row", np.int64), ("h", np.uint64)])
-                pair["row"], pair["h"] = row[rest], hashes[rest]
-                pair, times = np.unique(pair, return_counts=True)
-                part = batch.slice(first, n)
-                yield pa.record_batch({
-                    "row": part.column("row"), "doc_id": part.column("doc_id"), "held_out": part.column("held_out"),
-                    "n_tokens": pa.array(np.bincount(row, minlength=n)),
-                    "n_known": pa.array(np.bincount(row[c > 0], minlength=n)),
-                    "base_score": pa.array(np.bincount(row, base, n)),
-                    "score": pa.array(np.bincount(row, score, n)),
-                    "rest": texts.lists(pair["h"].view(np.int64) if len(pair) else np.zeros(0, np.int64),
-                                        np.bincount(pair["row"], minlength=n), pa.int64()),
-                    "times": texts.lists(times, np.bincount(pair["row"], minlength=n), pa.int64()),
-                })
+        for row in _rows(batches):
+            yield _score_block(Block(row), row["in_contexts"].as_py() if facts["train"] else None, facts)
 
     return run
 
 
+def _score_block(b: Block, raw: bytes | None, facts: dict) -> pa.RecordBatch:
+    n = len(b.n_tokens)
+    c = b.counts[b.code]
+    base = score = np.log10((c + 1) / facts["total"])
+    if facts["train"]:
+        counts = np.append(b.counts[b.inside], facts["rare"]).astype(float)
+        kept, known = b.pair_n > 0, b.triple_n > 0
+        context = np.concatenate([counts, [facts["texts"]], b.pair_n[kept]])
+        used = b.answer(raw, b.context_keys)[0] / QUARTERS
+        left = np.clip(1 - used / np.maximum(context, 1), 1e-9, None)
+        p1 = (counts + 0.5) / (facts["train"] + 0.5 * (facts["words"] + 1))
+        triples = b.triples[known]
+        triples = (np.cumsum(kept)[triples // b.size] - 1) * b.size + triples % b.size
+        trie = Trie(elias.mapped(*elias.to_bytes(build_trie(
+            counts, facts["texts"], b.pairs[kept], b.pair_n[kept].astype(float), triples,
+            b.triple_n[known].astype(float), (p1, left[: b.size], left[b.size :])))), b.size)
+        inside = np.where(c > 0, np.log10(np.maximum(c, 1)) + facts["seen"], facts["new"])
+        score = trie.score(b.w, b.before, b.fresh) + np.where(b.w == b.rare, inside, 0.0)
+    return pa.record_batch({
+        "doc_id": b.doc_id.values, "held_out": b.held_out.values, "n_tokens": pa.array(b.n_tokens),
+        "n_known": pa.array(np.bincount(b.row[c > 0], minlength=n)),
+        "train_tokens": pa.array(np.full(n, facts["train"])),
+        "base_score": pa.array(np.bincount(b.row, base, n)), "score": pa.array(np.bincount(b.row, score, n))})
+
+
 def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Learn from the rows that are not held out, then score every row.
 
@@ -235,81 +333,48 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     A null text counts as empty: its only token is the end. A null id is a training row. Without training rows both
     scores are 0. Repeated rows count as often as they occur; other columns are ignored.
 
-    Words are known by 64-bit hash. Exact counts of all words come from one pass whose sums are combined in the tasks.
-    Words above ``TABLE_SHARE`` of all tokens go to the tasks as a table of at most 1 / share entries; the others
-    get their counts by a join (none of them is hot, by that same share). The trie holds words above ``TRIE_SHARE``
-    and n-grams above ``GRAM_SHARE`` of the training tokens, which bounds its size the same way. A word outside the
-    trie is scored as its class times the word's share of the class; words never seen share one event, as in the base.
+    Words and n-grams are known by 64-bit hash. Every word, bigram and trigram that occurs ``LEAST`` times in the
+    training rows is learned, however large the corpus. Texts are laid out in blocks of about ``BLOCK_BYTES``. A block
+    sends each of its words once, then each bigram, then each trigram of known bigrams, to the shard of the hash; the
+    shard adds up the counts of all blocks and answers every block that asked. The mass that contexts leave to shorter
+    ones is added up the same way. From the answers a block makes the part of the trie that its texts can meet. Nothing
+    that grows with the corpus passes through the driver or a broadcast, shards are about ``SHARD_KEYS`` keys each, and
+    a frequent n-gram costs its shard one entry a block. A word outside the trie is scored as its class times the
+    word's share of the class; words never seen share one event, as in the base.
     """
-    spark = docs.sparkSession
-    share = spark.sparkContext.broadcast
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
-        F.col(text_col).cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    counts = materialize(
-        rows.select("text", "held_out").mapInArrow(_count_tokens, "h long, n long, c long")
-        .groupBy("h").agg(F.sum("n").alias("n"), F.sum("c").alias("c")),
-        "token-counts",
-    )
-    seen = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))
-    ).first()
-    n_all, n_train, n_types = (int(x) for x in seen)
-    table = counts.filter(F.col("n") >= max(2.0, TABLE_SHARE * n_all)).select("h", "c").toArrow()
-    hashes, c = table.column("h").to_numpy().view(np.uint64), table.column("c").to_numpy()
-    order = np.argsort(hashes)
-    hashes, c = hashes[order], c[order]
-    total = n_train + n_types + 1
-    facts = {"table": hashes, "table_n": c, "total": float(total), "vocabulary": hashes[:0], "trie": None,
-             "seen": 0.0, "new": 0.0}
-    if n_train:
-        inside = c >= max(2.0, TRIE_SHARE * n_train)
-        vocabulary = Vocabulary(hashes[inside])
-        known = c[inside].astype(float)
-        rare_n = n_train - int(known.sum())
-        once = counts.filter("c = 1").count()
-        new = (min(once, rare_n) + 0.5) / (rare_n + 1.0)
-        facts |= {"new": math.log10(new), "seen": math.log10((1 - new) / max(rare_n, 1))}
-        words = share(vocabulary.hashes)
-        learn = rows.filter(~F.col("held_out")).select("text")
-        least = max(2.0, GRAM_SHARE * n_train)
-
-        def kept(pairs) -> tuple[np.ndarray, np.ndarray]:
-            grams = learn.mapInArrow(_count_grams(words, pairs), "g long, n long").groupBy("g").agg(
-                F.sum("n").alias("n")).filter(F.col("n") >= least).toArrow()
-            g, n = grams.column("g").to_numpy(), grams.column("n").to_numpy()
-            order = np.argsort(g)
-            return g[order], n[order].astype(float)
-
-        pairs, pair_n = kept(None)
-        triples, triple_n = kept(share(pairs)) if len(pairs) else (pairs, pair_n)
-        arrays = build_trie(
-            np.append(known, rare_n), float(learn.count()), pairs, pair_n, triples, triple_n)
-        facts |= {"vocabulary": vocabulary.hashes, "trie": elias.to_bytes(arrays)}
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = materialize(
-        rows.mapInArrow(
-            _score(share(facts)),
-            f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
-            "rest array<long>, times array<long>",
-        ),
-        "token-scores",
-    )
-    tail = scored.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select(
-        "row", F.col("x.rest").alias("h"), F.col("x.times").alias("k"))
-    c = F.coalesce(F.col("c"), F.lit(0))
-    word = F.when(c > 0, F.log10(F.greatest(c, F.lit(1))) + F.lit(facts["seen"])).otherwise(F.lit(facts["new"]))
-    base = F.log10((c + 1) / F.lit(float(total)))
-    added = tail.join(counts.select("h", "c"), "h", "left").groupBy("row").agg(
-        F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("k") * base).alias("more_base"),
-        F.sum(F.col("k") * (word if n_train else base)).alias("more_score"),
-    )
-    return scored.join(added, "row", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(n_train).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
-    )
+    laid = f"block long, doc_id array<{kind}>, held_out array<boolean>, n_tokens array<long>, words binary, codes binary"
+    blocks = materialize(rows.mapInArrow(_lay, laid), "token-blocks")
+    n_all = blocks.select(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
+    bits = max(4, math.ceil(math.log2(max(n_all, 1) / SHARD_KEYS)))
+
+    def answered(name: str, least: int) -> DataFrame:
+        sent = having.mapInArrow(_send(name, bits), "shard long, block long, keys binary, n binary")
+        return materialize(sent.groupBy("shard").applyInArrow(
+            _add_up(least), "block long, shard long, sums binary, totals array<long>"), f"token-{name}")
+
+    def with_answers(name: str, answers: DataFrame) -> DataFrame:
+        one = answers.select("block", "shard", "sums").groupBy("block").applyInArrow(
+            _together, "block long, sums binary")
+        return having.join(one.withColumnRenamed("sums", f"in_{name}").hint("merge"), "block", "left")
+
+    having = blocks
+    words = answered("words", 0)
+    n_train, n_types, n_words, inside, once = (
+        int(x) for x in words.agg(*[F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)) for i in range(5)]).first())
+    having = with_answers("words", words)
+    if n_train:
+        for name, least in (("pairs", LEAST), ("triples", LEAST), ("contexts", 0)):
+            having = with_answers(name, answered(name, least))
+    rare = n_train - inside
+    new = (min(once, rare) + 0.5) / (rare + 1.0)
+    n_texts = blocks.select(F.sum(F.size(F.filter("held_out", lambda x: ~x)))).first()[0] or 0
+    facts = {"total": float(n_train + n_types + 1), "train": n_train, "words": n_words, "rare": rare,
+             "texts": float(n_texts), "new": math.log10(new), "seen": math.log10((1 - new) / max(rare, 1))}
+    return having.mapInArrow(
+        _score(facts), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        "base_score double, score double")

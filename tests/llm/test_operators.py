@@ -270,3 +270,61 @@ def test_a_much_copied_toxic_text_is_one_piece_of_evidence(spark):
     assert toxicity.apart(spark.createDataFrame([(t, 1) for _, t in rows], "text string, toxic int")).count() < 110
     got = {r.doc_id: r for r in toxicity.toxicity(docs, labels, F.lit(False)).collect()}
     assert (got[3000].predicted, got[3001].predicted) == (0, 1)
+
+
+def brute_scores(docs, least=2, d=0.75):
+    """log10 scores by interpolated absolute discounting over words, bigrams and trigrams of the training texts."""
+    learn = [t for t, held in docs if not held]
+    c = {}
+    for t in learn:
+        for w in t:
+            c[w] = c.get(w, 0) + 1
+    total = sum(c.values())
+    inside = {w: n for w, n in c.items() if n >= least}
+    rare, once = total - sum(inside.values()), sum(n == 1 for n in c.values())
+    new = (min(once, rare) + 0.5) / (rare + 1)
+    grams = {2: {}, 3: {}}
+    form = lambda t: ["<s>"] + [w if w in inside else "?" for w in t]
+    for t in learn:
+        w = form(t)
+        for size, g in grams.items():
+            for i in range(len(w) - size + 1):
+                k = tuple(w[i : i + size])
+                g[k] = g.get(k, 0) + 1
+    counts = {("?",): rare, ("<s>",): len(learn), **{(w,): n for w, n in inside.items()}}
+    counts |= {k: n for g in grams.values() for k, n in g.items() if n >= least}
+    used = {}
+    for k, n in counts.items():
+        used[k[:-1]] = used.get(k[:-1], 0) + (n - d if len(k) > 1 else 0)
+
+    def p(gram):
+        if len(gram) == 1:
+            return (counts[gram] + 0.5) / (total + 0.5 * (len(inside) + 1))
+        shorter, context = p(gram[1:]), gram[:-1]
+        if context not in counts:
+            return shorter
+        back = max(1 - used.get(context, 0) / max(counts[context], 1), 1e-9)
+        return max(counts.get(gram, 0) - d, 0) / max(counts[context], 1) + back * shorter
+
+    out = []
+    for t, _ in docs:
+        w, s = form(t), 0.0
+        for i in range(1, len(w)):
+            s += math.log10(p(tuple(w[max(0, i - 2) : i + 1])))
+            if w[i] == "?":
+                s += math.log10((1 - new) / rare if t[i - 1] in c else new)
+        out.append(s)
+    return out
+
+
+def test_lm_keeps_rare_ngrams_of_a_large_corpus(spark, monkeypatch):
+    filler = " ".join(f"f{i % 97}" for i in range(20_000))
+    rows = [(i, filler) for i in range(30)]  # 600,000 tokens: a share of 1e-5 of them is 6
+    rows += [(100 + i, "zirkon blau leuchtet hell once%d" % i) for i in range(3)]
+    rows += [(200, "zirkon blau leuchtet hell"), (201, "hell leuchtet unseen blau"), (202, ""), (203, "zirkon f1 f2 once1")]
+    docs = frame(spark, rows)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 300_000, raising=False)
+    got = {r.doc_id: r for r in lm.score_texts(docs, F.col("doc_id") >= 200).collect()}
+    want = brute_scores([(t.split() + [None], i >= 200) for i, t in rows])
+    for (i, t), s in zip(rows, want):
+        assert abs(got[i].score - s) <= 0.04 * got[i].n_tokens, (i, got[i].score, s)
