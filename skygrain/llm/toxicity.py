@@ -11,14 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skygrain.llm import deobfuscate, texts
-from skygrain.llm.minhash import shingles
+from skygrain.llm.minhash import near_duplicates
 from skygrain.plans.durable import materialize
 
 SAMPLE_PER_CLASS = 10_000  # labelled texts of each class that the classifier learns from, taken in order of a hash
 LEAST_EVIDENCE = 14.0  # log-likelihood ratio against chance that a feature needs
 LEAST_PRECISION = 0.9  # estimated share of toxic texts among those with a feature that it needs
 PREFIXES = (3, 4, 5, 6)
-SKETCHES = 3  # near copies of a learned text share one of these minima nearly always, and count once
 
 
 def features(data: np.ndarray, offsets: np.ndarray, restorer: deobfuscate.Restorer) -> tuple[np.ndarray, np.ndarray]:
@@ -51,26 +50,16 @@ def _spelled(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, row
 
 
-def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds ``s0, s1, ...``: minima of the text's five-word shingles under several maps."""
-    factors = texts.mix(np.arange(101, 101 + SKETCHES, dtype=np.uint64)) | np.uint64(1)
-    for batch in batches:
-        found = [s for _, _, data, offsets in texts.blocks(batch.column("text")) for s in shingles(data, offsets, 5)]
-        least = [np.array([texts.mix(s * f).min() if len(s) else 0 for s in found], np.uint64) for f in factors]
-        yield pa.record_batch({
-            "text": batch.column("text"), "toxic": batch.column("toxic"),
-            **{f"s{i}": pa.array(x.view(np.int64)) for i, x in enumerate(least)}})
-
-
 def apart(sample: DataFrame) -> DataFrame:
-    """One text of each class among near copies (``text, toxic``), so that a much copied text is one piece of evidence."""
-    names = [f"s{i}" for i in range(SKETCHES)]
-    kept = sample.select("text", "toxic").mapInArrow(
-        _sketch, "text string, toxic int, " + ", ".join(f"{n} long" for n in names))
-    for n in names:
-        row = F.struct("text", *[x for x in names if x != n])
-        kept = kept.groupBy(n, "toxic").agg(F.min_by(row, F.xxhash64("text")).alias("row")).select(n, "toxic", "row.*")
-    return kept.select("text", "toxic")
+    """One text of each class among near copies (``text, toxic``), so that a much copied text is one piece of evidence.
+
+    Near copies are joined by links of a five-word shingle similarity of at least 0.8, confirmed on full sets.
+    """
+    rows = materialize(
+        sample.select("text", "toxic").withColumn("doc_id", F.monotonically_increasing_id()), "toxicity-texts")
+    kept = [
+        near_duplicates(rows.filter(F.col("toxic") == y), width=5).filter("kept").select("doc_id") for y in (0, 1)]
+    return rows.join(kept[0].unionByName(kept[1]), "doc_id", "left_semi").select("text", "toxic")
 
 
 def _count_features(shared):

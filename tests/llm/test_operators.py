@@ -328,3 +328,12 @@ def test_lm_keeps_rare_ngrams_of_a_large_corpus(spark, monkeypatch):
     want = brute_scores([(t.split() + [None], i >= 200) for i, t in rows])
     for (i, t), s in zip(rows, want):
         assert abs(got[i].score - s) <= 0.04 * got[i].n_tokens, (i, got[i].score, s)
+
+
+def test_only_confirmed_near_copies_are_merged(spark):
+    shared = " ".join(f"licence{j}" for j in range(60))
+    rows = [(f"{shared} " + " ".join(f"own{i}x{j}" for j in range(60)), i % 2) for i in range(80)]  # similarity about 1/3
+    copies = [(f"{' '.join(f'body{j}' for j in range(200))} tail{i}", 1) for i in range(20)]
+    left = [r.text for r in toxicity.apart(spark.createDataFrame(rows + copies, "text string, toxic int")).collect()]
+    assert sorted(t for t in left if t.startswith("licence")) == sorted(t for t, _ in rows)
+    assert sum(t.startswith("body") for t in left) == 1
