@@ -32,6 +32,8 @@ _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LEET if not c.isdigit()]] = True
 _SEP = np.zeros(256, bool)
 _SEP[[ord(c) for c in SEPARATORS]] = True
+_EDGE = np.zeros(256, bool)
+_EDGE[[ord(c) for c in ".,;:?!\"'-_*~()[]{}<>"]] = True
 _SPLIT = re.compile(r"[^a-z0-9]*([a-z0-9@$!|+(](?:[._*~-]+[a-z0-9@$!|+(])+)[^a-z0-9]*")
 
 
@@ -77,6 +79,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
                 arcs.append(("", DROP_REPEAT))
         elif c in SEPARATORS:
             arcs = [("", DROP_SEPARATOR)]
+        elif c >= "\x80":
+            arcs = [(c, 0.0)]  # another script's letter stays as it is
         else:
             arcs = [(" ", 0.0)]
         out.append(arcs)
@@ -99,6 +103,12 @@ def restore(token: str, model: np.ndarray, spaced: bool = False) -> str:
                 if not c:
                     offer(state, score + cost, text)
                     continue
+                if c >= "\x80":
+                    to = state
+                    for _ in c.encode():
+                        to = (to * SYMBOLS + 27) % SYMBOLS**3
+                    offer(to, score + cost, text + c)
+                    continue
                 symbol = 0 if c == " " else ord(c) - 96
                 here = score + cost + float(model[state, symbol])
                 to = (state * SYMBOLS + symbol) % SYMBOLS**3
@@ -131,32 +141,40 @@ class Restorer:
         if not len(start):
             return []
         letter = (CLASS[data] > 0) & (data < 128)
-        word = letter | _DIGIT[data]
+        foreign = CLASS[data] == 27
+        word = letter | _DIGIT[data] | foreign
         after = np.zeros(len(data), bool)
         after[:-1] = word[1:] | (_SIGN[data[1:]])
         before = np.zeros(len(data), bool)
-        before[1:] = letter[:-1]
+        before[1:] = word[:-1] | _SIGN[data[:-1]]
         tripled = np.zeros(len(data), bool)
         tripled[2:] = letter[2:] & (data[2:] == data[1:-1]) & (data[2:] == data[:-2])
         joint = _SEP[data] & before & after
         odd = _DIGIT[data] | (_SIGN[data] & after)
+        readable = letter | _DIGIT[data] | _SIGN[data] | (data >= 0xC0)  # a foreign letter counts by its first byte
         count = lambda flag: np.add.reduceat(flag.astype(np.int32), start)
-        letters, odds, joints = count(letter), count(odd), count(joint)
-        length = end - start
-        disguised = ((letters >= 2) & (odds >= 1)) | (count(tripled) >= 1) & (letters >= 3)
-        apart = (joints >= 2) & (2 * joints + 3 >= length)
+        disguised = (count(readable) >= 2) & ((count(odd) >= 1) | (count(joint) >= 1))
+        disguised |= (count(tripled) >= 1) & (count(letter) >= 3)
         out = []
         raw = data.tobytes()
-        for i in np.flatnonzero(disguised | apart):
+        for i in np.flatnonzero(disguised):
             token = raw[start[i] : end[i]].decode("utf-8", "replace")
             inner = _SPLIT.fullmatch(token)
             out.append((int(row[i]), self.one(inner[1] if inner else token.strip(".,;:?!\"'-_*~"), False)))
-        single = (length == 1) & (word[start] | (_SIGN[data[start]] & (data[start] != ord("|"))))
+        # A word of a spaced run is one character once the punctuation at its edges is off.
+        edge = _EDGE[data]
+        for at in np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x80) & (data[2:] >= 0x90)):
+            edge[at : at + 3] = True  # dashes, quotation marks and dots of Unicode
+        core = np.maximum.reduceat(np.where(edge | texts.SPACE[data], -1, np.arange(len(data))), start)
+        alone = end - start == 1
+        core = np.where(alone, start, core)
+        single = alone | (count(~edge & ~texts.SPACE[data]) == 1)
+        single &= (letter | _DIGIT[data] | (_SIGN[data] & (data != ord("|"))))[core]
         if single.any():
-            edge = np.diff(np.concatenate([[0], (single).astype(np.int8), [0]]))
-            for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
+            step = np.diff(np.concatenate([[0], (single).astype(np.int8), [0]]))
+            for a, b in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1)):
                 for r in np.unique(row[a:b]):
                     own = np.arange(a, b)[row[a:b] == r]
-                    if len(own) >= 3 and letter[start[own]].sum() >= 2:
-                        out.append((int(r), self.one(data[start[own]].tobytes().decode(), True)))
+                    if len(own) >= 3 and (~_DIGIT[data[core[own]]]).any():
+                        out.append((int(r), self.one(data[core[own]].tobytes().decode(), True)))
         return out

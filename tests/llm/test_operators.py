@@ -337,3 +337,19 @@ def test_only_confirmed_near_copies_are_merged(spark):
     left = [r.text for r in toxicity.apart(spark.createDataFrame(rows + copies, "text string, toxic int")).collect()]
     assert sorted(t for t in left if t.startswith("licence")) == sorted(t for t, _ in rows)
     assert sum(t.startswith("body") for t in left) == 1
+
+
+@pytest.mark.parametrize("text, word", [
+    ("you a55 there", "ass"), ("you a$$ there", "ass"), ("you @$$ there", "ass"), ("so 5h17, no", "shit"),
+    ("an 1d107 here", "idiot"), ("so v i l e. Yes", "vile"), ('so "v i l e" yes', "vile"), ("so \u201cv i l e\u201d yes", "vile"),
+    ("a st.up.id one", "stupid"), ("a st.upid one", "stupid"), ("so n4\u00efve1y", "na\u00efvely"),
+])
+def test_gate_lets_every_disguise_through(text, word):
+    table = np.full((32**3, 32), -3.0, np.float32)
+    for w in ("ass", "shit", "idiot", "vile", "stupid", "na\u00efvely"):
+        line = [0, 0, 0] + [int(deobfuscate.CLASS[b]) for b in w.encode()] + [0]
+        for a, b, c, d in zip(line, line[1:], line[2:], line[3:]):
+            table[(a * 32 + b) * 32 + c, d] = -0.1
+    data = np.frombuffer(text.encode(), np.uint8)
+    found = deobfuscate.Restorer(table).extras(data, np.array([0, len(data)]))
+    assert word in [w for _, t in found for w in t.split()]
