@@ -10,6 +10,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from skygrain.llm.texts import by_key
 from skygrain.plans.durable import materialize
@@ -123,18 +124,12 @@ def _blocks(schema: pa.Schema, height: int):
     return run
 
 
-def _arrow(ddl_type) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(ddl_type)
-
-
 def _tier(leaves: DataFrame, height: int, label: str) -> DataFrame:
     """Blocks ``grp, block, height, nodes, root, ids, altereds, total`` over ``grp, pos, total, id, leaf, altered``."""
     grp, ident = leaves.schema["grp"].dataType, leaves.schema["id"].dataType
     schema = pa.schema([
-        ("grp", _arrow(grp)), ("block", pa.int64()), ("height", pa.int32()), ("nodes", pa.binary()), ("root", pa.binary()),
-        ("ids", pa.list_(_arrow(ident))), ("altereds", pa.list_(pa.binary())), ("total", pa.int64()),
+        ("grp", to_arrow_type(grp)), ("block", pa.int64()), ("height", pa.int32()), ("nodes", pa.binary()), ("root", pa.binary()),
+        ("ids", pa.list_(to_arrow_type(ident))), ("altereds", pa.list_(pa.binary())), ("total", pa.int64()),
     ])
     ddl = (f"grp {grp.simpleString()}, block long, height int, nodes binary, root binary, "
            f"ids array<{ident.simpleString()}>, altereds array<binary>, total long")
@@ -202,7 +197,7 @@ def _down(tiers: list[DataFrame], above: DataFrame) -> DataFrame:
             "b.grp", "b.height", "b.nodes", "b.ids", "b.altereds", F.col("a.path").alias("above"), "a.subroot", "a.root")
         ddl = f"grp {blocks.schema['grp'].dataType.simpleString()}, id {ident.simpleString()}, leaf binary, path binary, " \
               "subroot binary, root binary" + (", altered binary" if not level else "")
-        rows = opened.mapInArrow(_paths(_arrow(ident), not level), ddl)
+        rows = opened.mapInArrow(_paths(to_arrow_type(ident), not level), ddl)
         if not level:
             return rows
         below = rows.select("grp", F.col("id").alias("block"), "path", "subroot", "root")
@@ -281,7 +276,7 @@ def verify(proofs: DataFrame) -> DataFrame:
     ident = proofs.schema["id"].dataType
     ddl = (f"id {ident.simpleString()}, leaf string, subroot string, root string, proof_sha256 string, "
            "folded_root string, verified boolean")
-    return proofs.select("id", "leaf", "path", "subroot", "root", "altered").mapInArrow(_verdicts(_arrow(ident)), ddl)
+    return proofs.select("id", "leaf", "path", "subroot", "root", "altered").mapInArrow(_verdicts(to_arrow_type(ident)), ddl)
 
 
 def tampered(docs: DataFrame, one_in: int = 7) -> DataFrame:

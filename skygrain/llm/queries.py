@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skygrain.llm import (
-    chat, exact, langid, lexical, lm, merkle, minhash, mixing, packing, secrets, toxicity, vectors,
+    chat, exact, langid, lexical, lm, merkle, minhash, mixing, packing, pages, secrets, toxicity, vectors,
 )
 from skygrain.llm.texts import remainder
 
@@ -199,3 +199,8 @@ FROM leaves JOIN tops USING (g) JOIN proofs USING (g, pos) JOIN ends USING (g, p
 @query("op13_merkle_manifest", _MERKLE_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered(table(spark, sf_dir, "documents"))
+
+
+@query("op11_html_extraction")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
