@@ -10,11 +10,10 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from skygrain.plans.durable import materialize
-from skygrain.plans.skew import ROW_NO, cut_ranges, number_rows, range_offsets
 
 COPY_SHARE = 0.8  # pages that share this much of their undecided lines are versions of one page, not of one template
 LCS_BITS = 64_000_000  # of the alignment table kept at a time
@@ -262,21 +261,47 @@ def _nearness(a: str, b: str) -> tuple[int, int]:
     return folders, n
 
 
-def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of neighbouring pages to what each page shares with the other."""
+FACTS = ("path", "codes", "zones", "lengths")
+SAID = pa.schema([
+    ("host", pa.string()), ("mark", pa.binary()), ("folders", pa.int32()), ("chars", pa.int32()),
+    ("shared", pa.list_(pa.int32())), ("part", pa.int32()), ("edge", pa.int32()), ("path", pa.string()),
+    ("codes", pa.list_(pa.int64())), ("zones", pa.binary()), ("lengths", pa.list_(pa.int32())),
+])
+SAID_DDL = ("host string, mark binary, folders int, chars int, shared array<int>, part int, edge int, path string, "
+            "codes array<long>, zones binary, lengths array<int>")
+FIRST, LAST = 1, 2  # of a range of the sorted pages
+
+
+def _verdicts(a: dict, b: dict) -> list[dict]:
+    """What each of two neighbouring pages shares with the other, and how near their paths are."""
+    if a["host"] != b["host"]:
+        return []
+    folders, chars = _nearness(a["path"], b["path"])
+    sides = shared_lines(*[(a[n], b[n]) for n in ("codes", "zones", "lengths")])
+    return [{"host": x["host"], "mark": x["mark"], "folders": folders, "chars": chars, "shared": s}
+            for x, s in zip((a, b), sides)]
+
+
+def _table(rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema=SAID)
+
+
+def _neighbours(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted pages of one range, each compared with the one before; the range's first and last page come out whole."""
+    last = None
     for batch in batches:
-        out: dict[str, list] = {n: [] for n in ("host", "mark", "folders", "chars", "shared")}
-        for r in range(batch.num_rows):
-            row = {n: batch.column(n)[r].as_py() for n in batch.schema.names}
-            both = shared_lines(*[(row[n], row[f"{n}2"]) for n in ("codes", "zones", "lengths")])
-            folders, chars = _nearness(row["path"], row["path2"])
-            for mark, places in ((row["mark"], both[0]), (row["mark2"], both[1])):
-                for n, v in zip(out, (row["host"], mark, folders, chars, places)):
-                    out[n].append(v)
-        yield pa.record_batch({
-            "host": pa.array(out["host"], pa.string()), "mark": pa.array(out["mark"], pa.binary()),
-            "folders": pa.array(out["folders"], pa.int32()), "chars": pa.array(out["chars"], pa.int32()),
-            "shared": pa.array(out["shared"], pa.list_(pa.int32()))})
+        out = []
+        for row in batch.to_pylist():
+            out += [row | {"edge": FIRST}] if last is None else _verdicts(last, row)
+            last = row
+        yield _table(out)
+    if last is not None:
+        yield _table([last | {"edge": LAST}])
+
+
+def _at_borders(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield _table([v for row in batch.to_pylist() for v in _verdicts(row["a"], row["b"])])
 
 
 def _written(kind: pa.DataType):
@@ -305,25 +330,27 @@ def path_of(url: Column) -> Column:
 def shared_by_template(pages: DataFrame) -> DataFrame:
     """``host, mark, shared``: the lines that a page has in common with the page at the nearest URL path.
 
-    ``pages`` has ``host, path, mark, html``. Equal pages of a host count once, at their least path. Pages are put in
-    the order of (host, path) in sorted ranges, so that a host of any size is spread over the cluster, and numbered;
-    a page's nearest path is then one of its two neighbours, the one with more folders and more characters in common.
+    ``pages`` has ``host, path, mark, html``. Equal pages of a host count once, at their least path. Pages are sorted
+    by (host, path) in ranges, so that a host of any size is spread over the cluster; the page nearest in path is then
+    one of a page's two neighbours, the one with more folders and more characters in common. Each task compares the
+    neighbours of its range; the last page of a range and the first of the next meet in a small join.
     A neighbour that is a version of the same page is passed over for the other one. A lone page shares nothing.
     """
-    lined = materialize(pages.filter("host <> ''").mapInArrow(
-        _lined, "host string, path string, mark binary, codes array<long>, zones binary, lengths array<int>"), "lines")
-    once = lined.groupBy("host", "mark").agg(F.min("path").alias("path"))
-    ranges = cut_ranges(once, ["host"], ["path", "mark"], unique=True)
-    numbered = number_rows(ranges, range_offsets(ranges, ["host"]), ["host"], ["path", "mark"]).select(
-        "host", "path", "mark", ROW_NO)
-    facts = lined.groupBy("host", "mark").agg(*[F.any_value(c).alias(c) for c in ("codes", "zones", "lengths")])
-    placed = materialize(numbered.join(facts, ["host", "mark"]), "placed")
-    after = placed.select("host", (F.col(ROW_NO) - 1).alias(ROW_NO), *[
-        F.col(c).alias(f"{c}2") for c in ("path", "mark", "codes", "zones", "lengths")])
-    said = placed.join(after, ["host", ROW_NO]).drop(ROW_NO).mapInArrow(
-        _compared, "host string, mark binary, folders int, chars int, shared array<int>")
+    lined = pages.filter("host <> ''").mapInArrow(
+        _lined, "host string, path string, mark binary, codes array<long>, zones binary, lengths array<int>")
+    once = materialize(lined.groupBy("host", "mark").agg(
+        F.min("path").alias("path"), *[F.any_value(c).alias(c) for c in FACTS[1:]]), "page-lines")
+    in_order = once.repartitionByRange("host", "path", "mark").sortWithinPartitions("host", "path", "mark")
+    said = materialize(in_order.select("host", "mark", *FACTS, F.spark_partition_id().alias("part")).mapInArrow(
+        _neighbours, SAID_DDL), "neighbours")
+    whole = F.struct("host", "mark", *FACTS)
+    lasts = said.filter(F.col("edge") == LAST).select("part", whole.alias("a"))
+    firsts = said.filter(F.col("edge") == FIRST).select(F.col("part").alias("next"), whole.alias("b"))
+    follows = lasts.select("part").withColumn("next", F.lead("part").over(Window.orderBy("part")))  # ranges with rows
+    borders = lasts.join(follows, "part").join(firsts, "next").select("a", "b").mapInArrow(_at_borders, SAID_DDL)
     best = F.struct((F.size("shared") > 0).alias("any"), "folders", "chars", "shared")
-    return said.groupBy("host", "mark").agg(F.max(best).alias("best")).select("host", "mark", F.col("best.shared").alias("shared"))
+    told = said.filter("edge IS NULL").unionByName(borders)
+    return told.groupBy("host", "mark").agg(F.max(best).alias("best")).select("host", "mark", F.col("best.shared").alias("shared"))
 
 
 def extract(pages: DataFrame) -> DataFrame:

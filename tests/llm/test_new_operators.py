@@ -99,7 +99,10 @@ def test_lines_shared_with_the_nearest_page_go(spark):
     assert got[6] == "Top\n\nOur site\n\nFirst story" and got[8] == got[9] == "" and got[7] == "Top\n\nOur site"
 
 
-def test_random_hosts_equal_brute_force(spark):
+@pytest.mark.parametrize("ranges", [0, 9])
+def test_random_hosts_equal_brute_force(spark, hot, ranges):
+    if ranges:
+        hot(ranges=ranges)  # many ranges, so that neighbours meet across their borders
     rnd = random.Random(3)
     rows = [(i, f"https://h{rnd.randrange(3)}.org/{rnd.randrange(3)}/{rnd.randrange(30)}",
              _page(*[f"line {rnd.randrange(9)} {'x' * rnd.randrange(20)}" for _ in range(rnd.randrange(8))])) for i in range(120)]
