@@ -3,8 +3,9 @@
 A row is a duplicate when every variable is within its tolerance of the *last accepted* row of its location (null
 equals null, null differs from a value). The accepted row moves only on a change, so the rule is a fold over time and
 ``lag`` cannot express it. Rows stream through each task in order and only the last accepted row is carried along.
-A location too large for one task is cut into time ranges. The ranges are folded at the same time and folded again
-wherever the row carried in from the range before turns out different, until nothing changes.
+A location too large for one task is cut into time ranges, which are folded at the same time. A range with a reset (a
+row too far from the one before to be a duplicate) ends alike whatever is carried into it; the others are folded again
+wherever the row carried in turns out different, until nothing changes.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ TOLERANCES = {
     "precipitation": 0.001,
 }
 ACCEPTED = "accepted"
+CERTAIN = "_certain"  # a range whose last accepted row does not depend on the row carried into it
+FIRST_BLOCK = 4  # rows compared at once after an accepted one; doubles while nothing differs
 
 
 def changed(row: np.ndarray, anchor: np.ndarray, tol: np.ndarray, row_null: np.ndarray, anchor_null: np.ndarray):
@@ -38,12 +41,13 @@ def changed(row: np.ndarray, anchor: np.ndarray, tol: np.ndarray, row_null: np.n
     return (beyond | (row_null != anchor_null)).any(axis=-1)
 
 
-def fold_run(x: np.ndarray, nulls: np.ndarray, tol: np.ndarray, anchor: tuple | None) -> tuple[np.ndarray, tuple]:
-    """Accepted flags of one location's rows in order, and the last accepted row.
+def fold_run(x: np.ndarray, nulls: np.ndarray, tol: np.ndarray, anchor: tuple | None) -> tuple[np.ndarray, tuple, bool]:
+    """Accepted flags of one location's rows in order, the last accepted row, and whether the run holds a reset.
 
     The last accepted row is always within tolerance of the row just passed. So a row that moves by more than twice
-    the tolerance is new and a row equal to the one before is a duplicate, whatever was accepted last. Only the rows
-    in between are compared one by one.
+    the tolerance is new whatever was accepted last (a reset), and a row equal to the one before is a duplicate. The
+    rows in between are compared with the accepted row in blocks that double until one differs; the fold goes on from
+    that row. Slow drift costs a few block comparisons per accepted row instead of one comparison per row.
     """
     n = len(x)
     keep = np.zeros(n, dtype=bool)
@@ -55,23 +59,38 @@ def fold_run(x: np.ndarray, nulls: np.ndarray, tol: np.ndarray, anchor: tuple |
         same = (nulls[1:] == nulls[:-1]).all(axis=1) & ((x[1:] == x[:-1]) | nulls[1:]).all(axis=1)
         keep[1:] = new
         open_[1:] = ~(new | same)
-    last_kept = -1
-    settled = np.flatnonzero(keep)
-    for i in np.flatnonzero(open_):
-        before = settled[np.searchsorted(settled, i) - 1] if settled.size and settled[0] < i else -1
-        last_kept = max(last_kept, before)
-        if last_kept >= 0:
-            against, against_null = x[last_kept], nulls[last_kept]
-        elif anchor is not None:
-            against, against_null = anchor
-        else:
-            keep[i], last_kept = True, i
-            continue
-        if changed(x[i], against, tol, nulls[i], against_null):
-            keep[i], last_kept = True, i
-    kept = np.flatnonzero(keep)
-    end = (x[kept[-1]], nulls[kept[-1]]) if kept.size else anchor
-    return keep, end
+    resets = np.flatnonzero(keep)
+    rows = np.flatnonzero(open_)
+    stops = np.append(np.searchsorted(rows, resets), len(rows))  # open rows before each reset, and before the end
+    whole = not nulls.any()
+    starts = np.concatenate([[0], stops[:-1]])
+    for k in np.flatnonzero(stops > starts):
+        at, stop = starts[k], stops[k]
+        if k:
+            anchor = (x[resets[k - 1]], nulls[resets[k - 1]])
+        if anchor is None:
+            keep[rows[at]] = True
+            anchor = (x[rows[at]], nulls[rows[at]])
+            at += 1
+        size = FIRST_BLOCK
+        while at < stop:
+            block = rows[at : min(at + size, stop)]
+            if whole and not anchor[1].any():
+                with np.errstate(invalid="ignore"):
+                    differs = (np.abs(x[block] - anchor[0]) > tol).any(axis=1)
+            else:
+                differs = changed(x[block], anchor[0], tol, nulls[block], anchor[1])
+            first = int(differs.argmax())
+            if differs[first]:
+                keep[block[first]] = True
+                anchor = (x[block[first]], nulls[block[first]])
+                at += first + 1
+                size = max(FIRST_BLOCK, 2 * (first + 1))
+            else:
+                at += len(block)
+                size *= 2
+    last = np.flatnonzero(keep)
+    return keep, (x[last[-1]], nulls[last[-1]]) if last.size else anchor, bool(len(resets))
 
 
 def _matrix(batch: pa.RecordBatch, names: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +120,7 @@ def _fold(keys: Sequence[str], tolerances: Mapping[str, float], carried: bool, e
     names, tol = list(tolerances), np.array(list(tolerances.values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, anchor = None, None
+        key, anchor, certain = None, None, False
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -113,12 +132,13 @@ def _fold(keys: Sequence[str], tolerances: Mapping[str, float], carried: bool, e
                 here = tuple(batch.column(batch.schema.get_field_index(k))[lo].as_py() for k in keys)
                 if here != key:
                     if key is not None:
-                        closed.append((key, anchor))
-                    key, anchor = here, None
+                        closed.append((key, anchor, certain))
+                    key, anchor, certain = here, None, False
                     if carried and batch.column(batch.schema.get_field_index("_has_start"))[lo].as_py():
                         sx, sn = _matrix(batch.slice(lo, 1), [f"_start_{n}" for n in names])
                         anchor = (sx[0], sn[0])
-                keep[lo:hi], anchor = fold_run(x[lo:hi], nulls[lo:hi], tol, anchor)
+                keep[lo:hi], anchor, reset = fold_run(x[lo:hi], nulls[lo:hi], tol, anchor)
+                certain |= reset
             if not ends_only:
                 cols = [batch.column(i) for i, n in enumerate(batch.schema.names) if not n.startswith("_start_")
                         and n != "_has_start"]
@@ -127,16 +147,17 @@ def _fold(keys: Sequence[str], tolerances: Mapping[str, float], carried: bool, e
             elif closed:
                 yield _ends(closed, keys, names, batch.schema)
         if ends_only and key is not None:
-            yield _ends([(key, anchor)], keys, names, batch.schema)
+            yield _ends([(key, anchor, certain)], keys, names, batch.schema)
 
     return run
 
 
 def _ends(closed: list, keys: Sequence[str], names: Sequence[str], schema: pa.Schema) -> pa.RecordBatch:
-    cols = [pa.array([k[i] for k, _ in closed], schema.field(name).type) for i, name in enumerate(keys)]
+    cols = [pa.array([k[i] for k, *_ in closed], schema.field(name).type) for i, name in enumerate(keys)]
     for j in range(len(names)):
-        cols.append(pa.array([None if a[1][j] else float(a[0][j]) for _, a in closed], pa.float64()))
-    return pa.RecordBatch.from_arrays(cols, [*keys, *[f"_end_{n}" for n in names]])
+        cols.append(pa.array([None if a[1][j] else float(a[0][j]) for _, a, _ in closed], pa.float64()))
+    cols.append(pa.array([c for *_, c in closed], pa.bool_()))
+    return pa.RecordBatch.from_arrays(cols, [*keys, *[f"_end_{n}" for n in names], CERTAIN])
 
 
 def flag_unchanged(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -166,6 +187,7 @@ def _flag_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], tol:
     names = list(tol)
     end_schema = T.StructType(
         [ranges.schema[k] for k in at] + [T.StructField(f"_end_{n}", T.DoubleType()) for n in names]
+        + [T.StructField(CERTAIN, T.BooleanType())]
     )
     chain = Window.partitionBy(*keys).orderBy(PART)
     has, starts_cols = "_has_start", [f"_start_{n}" for n in names]
@@ -190,12 +212,18 @@ def _flag_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], tol:
         *at, F.lit(False).alias(has), *[F.lit(None).cast("double").alias(c) for c in starts_cols]
     )
     ends = materialize(fold_ends(with_starts(starts)), "dedup-ends")
+    odd = F.lit(False)
+    for c in starts_cols:
+        odd = odd | F.coalesce(F.isnan(f"a.{c}"), F.lit(False))
     while True:
         new = materialize(starts_from(ends), "dedup-starts")
         differs = ~F.struct(*[F.col(f"a.{c}") for c in (has, *starts_cols)]).eqNullSafe(
             F.struct(*[F.col(f"b.{c}") for c in (has, *starts_cols)])
         )
         moved = new.alias("a").join(starts.alias("b"), _equal(at) & differs, "left_semi")
+        # A range with a reset ends alike whatever is carried in, unless that is not a number.
+        settled = ends.filter(CERTAIN).alias("b")
+        moved = materialize(moved.alias("a").join(settled, _equal(at) & ~odd, "left_anti"), "dedup-moved")
         starts = new
         if moved.isEmpty():
             break

@@ -79,7 +79,7 @@ def _advance(rows: pd.DataFrame, state: GroupState, dedup: bool) -> pd.DataFrame
     rows = rows.sort_values(["event_time", "id"], kind="stable").reset_index(drop=True)
     if dedup:
         x = rows[VARIABLES].to_numpy(dtype=float)
-        keep, anchor = fold_run(np.nan_to_num(x), np.isnan(x), np.array(list(TOLERANCES.values())), anchor)
+        keep, anchor, _ = fold_run(np.nan_to_num(x), np.isnan(x), np.array(list(TOLERANCES.values())), anchor)
         rows = rows[keep].reset_index(drop=True)
     new = len(rows)
     series = {c: np.concatenate([history[c], rows[c].to_numpy(dtype=float)]) for c in SERIES_COLUMNS}

@@ -2,6 +2,8 @@
 
 import random
 
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +107,56 @@ def test_dedup_fold_over_ranges_equals_brute_force(spark, hot, seed, step):
     assert cut == expected
 
 
+def _drift(n, spread, seed=0, odd=0.0, gaps=0.0):
+    rng = np.random.default_rng(seed)
+    tol = np.array(list(dedup.TOLERANCES.values()))
+    x = np.cumsum(rng.normal(0, 1, (n, 6)) * tol * spread, axis=0)
+    nulls = rng.random((n, 6)) < gaps
+    x[rng.random(n) < odd, 0] = np.nan
+    return np.where(nulls, 0, x), nulls, tol
+
+
+@pytest.mark.parametrize("spread", [0.05, 0.4, 1.5, 5.0])
+@pytest.mark.parametrize("odd,gaps", [(0, 0), (0, 0.02), (0.02, 0)])
+def test_blocks_of_the_fold_equal_brute_force(spread, odd, gaps):
+    """Runs of all kinds: drift, resets, nulls, not-a-number, with and without a row carried in."""
+    for seed in range(12):
+        x, nulls, tol = _drift(seed * 17, spread, seed, odd, gaps)
+        anchor = None if seed % 2 else (np.zeros(6), np.zeros(6, bool))
+        keep, end, _ = dedup.fold_run(x, nulls, tol, anchor)
+        kept = []
+        for row, null in zip(x, nulls):
+            differs = anchor is None or bool(dedup.changed(row, anchor[0], tol, null, anchor[1]))
+            kept.append(differs)
+            anchor = (row, null) if differs else anchor
+        assert keep.tolist() == kept
+        assert (end is None) == (anchor is None) and (end is None or np.array_equal(end[0], anchor[0], equal_nan=True))
+
+
+def test_slow_drift_is_compared_in_blocks(monkeypatch):
+    """A hundred thousand slowly drifting rows take a few hundred comparisons, not one for each row."""
+    x, nulls, tol = _drift(100_000, 0.02)
+    nulls[:, 5] = True  # so that every comparison goes through ``changed``
+    calls = []
+    plain = dedup.changed
+    monkeypatch.setattr(dedup, "changed", lambda *a: calls.append(len(a[0])) or plain(*a))
+    keep, _, _ = dedup.fold_run(x, nulls, tol, None)
+    assert len(calls) < 12 * keep.sum() + 50 < 5_000
+
+
+def test_ranges_with_resets_are_folded_once(spark, hot, monkeypatch):
+    """Where each range holds a reset, no range is folded again although every carried row is new."""
+    rng = random.Random(5)
+    rows = [("a", i, float(i // 7 * 5 + rng.random())) for i in range(200)]
+    df = spark.createDataFrame(rows, "location STRING, id INT, temperature DOUBLE")
+    hot(20, 7)
+    labels = []
+    plain = dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda d, label: labels.append(label) or plain(d, label))
+    cut = [r["accepted"] for r in dedup.flag_unchanged(df, ["location"], ["id"], {"temperature": 2.0}).orderBy("id").collect()]
+    assert labels.count("dedup-ends") == 1 and cut == brute_fold([(r[2],) for r in rows], [2.0])
+
+
 def test_copies_of_one_row_are_spread(spark, hot):
     """Many rows that tie in the whole order still end up in several ranges, and counting stays exact."""
     hot(10)
