@@ -115,10 +115,13 @@ def assemble_features(df: DataFrame) -> DataFrame:
     """Rows with flat history, ``_row_no`` and observation columns to nested feature records.
 
     Expects latitude, longitude, elevation, time_text, forecast (array) and the observation columns. A row whose time
-    cannot be read stays in the history of later rows but gives no record itself.
+    cannot be read stays in the history of later rows but gives no record itself. The fields of ``input_metadata``, if
+    there is such a column, are part of the record's metadata.
     """
     time = S.wall_clock(F.col("time_text"))
     names = historical_names()
+    own = ("feature_engineered_at", "history_size", "samples_accumulated", "feature_count")
+    given = df.schema["input_metadata"].dataType.fieldNames() if "input_metadata" in df.columns else []
     extra = [c for c in ("location_key", "id") if c in df.columns]
     return df.filter(time.isNotNull()).select(
         *extra,
@@ -131,6 +134,7 @@ def assemble_features(df: DataFrame) -> DataFrame:
             "target_labels"
         ),
         F.struct(
+            *[F.col(f"input_metadata.{n}") for n in given if n not in own],
             now_iso().alias("feature_engineered_at"),
             F.least(F.col("samples"), F.lit(HISTORY_SIZE)).cast("int").alias("history_size"),
             F.col("samples").cast("int").alias("samples_accumulated"),
@@ -155,11 +159,11 @@ def contract_features(features: DataFrame) -> DataFrame:
     return features.withColumn(h, F.struct(*[F.col(f"{h}.{n}") for n in wanted]))
 
 
-def observations_of(cleaned: DataFrame) -> DataFrame:
-    """Cleaned records to the flat columns that feature engineering reads."""
+def observations_of(cleaned: DataFrame, metadata: bool = False) -> DataFrame:
+    """Cleaned records to the flat columns that feature engineering reads, on request with their ``input_metadata``."""
     extra = [c for c in cleaned.columns if c not in ("location", "event_time", "current", "hourly", "metadata")]
     return cleaned.select(
-        *extra,
+        *extra, *([F.col("metadata").alias("input_metadata")] if metadata else []),
         F.col("location.latitude"), F.col("location.longitude"), F.col("location.elevation"),
         F.col("current.time").alias("time_text"),
         F.col("current.temperature_2m").alias("temperature"),

@@ -41,9 +41,17 @@ def read_topic_table(spark: SparkSession, source: str, servers: str | None = Non
     return spark.read.schema("key STRING, value STRING").json(source)
 
 
-def valid_records(messages: DataFrame, contract: str) -> DataFrame:
-    """Key and record fields of the messages that meet the contract; the rest is dropped."""
-    return check_contract(messages, contract).filter(F.col(REASON).isNull()).select("key", "record.*")
+def valid_records(messages: DataFrame, contract: str, counted: str | None = None) -> DataFrame:
+    """Key and record fields of the messages that meet the contract; the rest is dropped.
+
+    ``counted`` names the observation under which a stream reports what was read and dropped, batch by batch.
+    """
+    checked = check_contract(messages, contract)
+    if counted:
+        from skygrain.streaming.counts import observed
+
+        checked = observed(checked, counted)
+    return checked.filter(F.col(REASON).isNull()).select("key", "record.*")
 
 
 def declare_streams(spark: SparkSession, sources: dict[str, str], servers: str | None = None) -> None:
