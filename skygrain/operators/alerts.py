@@ -6,8 +6,11 @@ from collections import deque
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from skygrain.plans.durable import materialize
+from skygrain.plans.skew import PART, cut_ranges
 
 # Default thresholds, message texts and list lengths.
 THRESHOLDS = {
@@ -85,33 +88,67 @@ def check_alerts(backlog: DataFrame, drift: DataFrame, completeness: DataFrame,
     return reduce(DataFrame.unionByName, numbered)
 
 
-def _unrepeated(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Positions of the alerts that are kept, from the newest earlier ones and then the new ones in order."""
-    top: deque[str] = deque(maxlen=RECENT_ALERTS)
-    for rows in batches:
-        kept = []
-        for fresh, k, message in zip(rows["fresh"], rows["k"], rows["message"]):
-            if fresh and message in top:
-                continue
-            top.append(message)
-            if fresh:
-                kept.append(k)
-        yield pd.DataFrame({"k": pd.Series(kept, dtype="int64")})
+def _unrepeated(ends_only: bool):
+    """Alerts of one range in order, after the messages carried into it: the positions kept, or the messages at its end."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, top, kept = None, deque(maxlen=RECENT_ALERTS), []
+        for batch in batches:
+            kept = []
+            for at, k, message, carried in zip(*(batch.column(n).to_pylist() for n in (PART, "k", "message", "carried"))):
+                if at != part:
+                    if ends_only and part is not None:
+                        yield _end(part, top)
+                    part, top = at, deque(carried, maxlen=RECENT_ALERTS)
+                if message not in top:
+                    top.append(message)
+                    kept.append(k)
+            if not ends_only:
+                yield pa.record_batch({"k": pa.array(kept, pa.int64())})
+        if ends_only and part is not None:
+            yield _end(part, top)
+
+    return run
+
+
+def _end(part: int, top: Iterable[str | None]) -> pa.RecordBatch:
+    return pa.record_batch({PART: pa.array([part], pa.int32()), "top": pa.array([list(top)], pa.list_(pa.string()))})
 
 
 def alert_history(history: DataFrame, new: DataFrame, position: str) -> DataFrame:
     """The whole history with the new alerts added, newest first.
 
     ``position``, a whole number that is unique in each table, orders both. A new alert is skipped when its message is
-    among the five newest at that moment, which includes alerts of the same check. That rule is a fold in order, so
-    (position, message) of the new alerts run through one task that holds five messages. Their number grows with the
-    checks made, not with the data checked. Of the history, the fold reads only the five newest.
+    among the five newest at that moment, which includes alerts of the same check. That rule is a fold in order whose
+    state is five messages. The new alerts are cut into ranges by position and folded at once; a range is folded again
+    where the five messages carried in from the range before turn out different, until none does. Five different
+    messages in a range usually settle it, whatever was carried in. Of the history, the fold reads the five newest.
     """
-    newest = history.orderBy(F.desc(position)).limit(RECENT_ALERTS)
-    columns = [F.col(position).cast("long").alias("k"), "message"]
-    both = newest.select(F.lit(False).alias("fresh"), *columns).unionByName(
-        new.select(F.lit(True).alias("fresh"), *columns))
-    kept = both.repartition(1).sortWithinPartitions("fresh", "k").mapInPandas(_unrepeated, "k LONG")
+    newest = history.select(F.col(position).cast("long").alias("k"), "message").orderBy(F.desc("k")).limit(RECENT_ALERTS)
+    before = F.transform(F.array_sort(F.collect_list(F.struct("k", "message"))), lambda x: x["message"])
+    first = newest.agg(before.alias("top")).first()["top"]
+    rows = new.select(F.col(position).cast("long").alias("k"), "message")
+    ranges = cut_ranges(rows, [], ["k"], unique=True, shuffled=True).select("k", "message", PART)
+    parts = ranges.groupBy(PART).agg(F.count(F.lit(1)).alias("n"))
+    given = F.array(*[F.lit(m) for m in first]).cast("array<string>")
+
+    def fold(starts: DataFrame, ends_only: bool) -> DataFrame:
+        dealt = ranges.join(starts, PART).repartition(PART).sortWithinPartitions(PART, "k")
+        kind = f"{PART} int, top array<string>" if ends_only else "k long"
+        return dealt.select(PART, "k", "message", "carried").mapInArrow(_unrepeated(ends_only), kind)
+
+    starts = materialize(parts.select(PART, given.alias("carried")), "alert-starts")
+    ends = materialize(fold(starts, True), "alert-ends")
+    while True:
+        follows = F.coalesce(F.lag("top").over(Window.orderBy(PART)), given)  # one row per range
+        heard = materialize(ends.select(PART, follows.alias("carried")), "alert-starts")
+        moved = heard.alias("a").join(starts.alias("b"), PART).filter(~F.col("a.carried").eqNullSafe(F.col("b.carried")))
+        moved = materialize(moved.select(PART, "a.carried"), "alert-moved")
+        starts = heard
+        if moved.isEmpty():
+            break
+        ends = materialize(ends.join(moved, PART, "left_anti").unionByName(fold(moved, True)), "alert-ends")
+    kept = fold(starts, False)
     added = new.join(kept.withColumnRenamed("k", position), position, "left_semi").withColumn("_new", F.lit(1))
     whole = history.withColumn("_new", F.lit(0)).unionByName(added)
     return whole.orderBy(F.desc("_new"), F.desc(position)).drop("_new")

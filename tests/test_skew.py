@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from registry.observations import cleaned_observations, feature_input
 from registry.views import KEY, ORDER, observations
-from skygrain.operators import dedup, features as X, samples as M
+from skygrain.operators import alerts, dedup, features as X, samples as M
 from skygrain.plans import skew
 from tests.conftest import assert_same_rows
 
@@ -157,6 +157,25 @@ def test_ranges_with_resets_are_folded_once(spark, hot, monkeypatch):
     assert labels.count("dedup-ends") == 1 and cut == brute_fold([(r[2],) for r in rows], [2.0])
 
 
+@pytest.mark.parametrize("kinds", [3, 6, 40])
+def test_alert_history_over_ranges_equals_a_fold(spark, hot, kinds):
+    """Few kinds of message are the hard case: what a range keeps depends on the ranges before it."""
+    rng = random.Random(kinds)
+    old = [(i, rng.choice([None, *"abcdefg"])) for i in range(9)]
+    new = [(100 + 3 * i, f"m{rng.randrange(kinds)}") for i in range(160)] + [(90, "a"), (91, None)]
+    top, kept = [m for _, m in sorted(old)][-alerts.RECENT_ALERTS:], []
+    for k, m in sorted(new):
+        if m not in top[-alerts.RECENT_ALERTS:]:
+            top.append(m)
+            kept.append(k)
+    hot(20, 9)
+    frames = [spark.createDataFrame(x, "pos LONG, message STRING").repartition(4) for x in (old, new)]
+    got = [r["pos"] for r in alerts.alert_history(*frames, "pos").collect()]
+    assert got == sorted(kept, reverse=True) + list(range(8, -1, -1))
+    empty = spark.createDataFrame([], "pos LONG, message STRING")
+    assert alerts.alert_history(empty, empty, "pos").collect() == []
+
+
 def test_copies_of_one_row_are_spread(spark, hot):
     """Many rows that tie in the whole order still end up in several ranges, and counting stays exact."""
     hot(10)
