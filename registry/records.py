@@ -70,6 +70,20 @@ def topic_bounded_read(spark, sf_dir):
     return K.bounded_read(json_messages(spark, sf_dir), "raw", 1000, ["id"]).select("id", "location")
 
 
+BROKEN_ID, IDLE = 504, 6  # with its neighbours one more broken message makes a run of seven invalid ones
+
+
+@query("topic_stop_read", f"""WITH {OBS}, m AS (SELECT id, location, {SOUND} AND id <> {BROKEN_ID} AS ok FROM obs),
+  n AS (SELECT *, coalesce(sum(CAST(ok AS INTEGER)) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM m),
+  stop AS (SELECT min(before) AS halt FROM (SELECT before FROM n WHERE NOT ok GROUP BY before HAVING count(*) >= {IDLE}))
+  SELECT id, location FROM n, stop WHERE ok AND (halt IS NULL OR before < halt)""")
+def topic_stop_read(spark, sf_dir):
+    """The valid messages up to the first run of six invalid ones."""
+    m = json_messages(spark, sf_dir)
+    planted = m.withColumn("value", F.when(F.col("id") == BROKEN_ID, F.lit("not json")).otherwise(F.col("value")))
+    return K.bounded_read(planted, "raw", None, ["id"], stop_after=IDLE).select("id", "location")
+
+
 @query("latest_n", f"WITH {MSG} SELECT event_id, topic, ts AS timestamp FROM msg ORDER BY ts DESC, event_id DESC LIMIT 1000")
 def latest_n(spark, sf_dir):
     m = messages(spark, sf_dir)

@@ -62,7 +62,30 @@ def _ks_sql(col: str) -> str:
   FROM (SELECT {_ks_sql('temperature')} AS d, count(*) FILTER (event_time >= TIMESTAMP '{SPLIT_DAY}') AS n,
     count(*) FILTER (event_time < TIMESTAMP '{SPLIT_DAY}') AS m FROM obs WHERE temperature IS NOT NULL)"""))
 def ks_drift(spark, sf_dir):
-    return rounded(Q.ks_drift(*halves(observations(spark, sf_dir)), "temperature"))
+    return rounded(Q.ks_drift(*halves(observations(spark, sf_dir)), "temperature", exact_rows=0))
+
+
+# Mean temperatures of the day's hours, to whole degrees so that some are equal: two samples of at most 24 values.
+@query("ks_drift_exact", with_obs(f""", hourly AS (SELECT event_time >= TIMESTAMP '{SPLIT_DAY}' AS now, hour(event_time) AS h,
+    round(avg(temperature)) AS t FROM obs WHERE temperature IS NOT NULL GROUP BY ALL),
+  sizes AS (SELECT count(*) FILTER (now) AS n, count(*) FILTER (NOT now) AS m FROM hourly),
+  gaps AS (SELECT max(abs((SELECT count(*) FROM hourly x WHERE x.now AND x.t <= v.t) * m - (SELECT count(*) FROM hourly x
+    WHERE NOT x.now AND x.t <= v.t) * n)) AS gap FROM (SELECT DISTINCT t FROM hourly) v, sizes),
+  walk AS (SELECT 0 AS k, 0 AS i, CAST(1 AS DOUBLE) AS c UNION ALL SELECT k, i, sum(c) FROM (
+    SELECT w.k + 1 AS k, w.i + s.d AS i, w.c FROM walk w, (VALUES (0), (1)) AS s (d), sizes, gaps
+    WHERE w.k < n + m AND w.i + s.d <= n AND w.k + 1 - w.i - s.d <= m
+      AND abs((w.i + s.d) * m - (w.k + 1 - w.i - s.d) * n) < gap) GROUP BY k, i),
+  orders AS (SELECT product((m + q) / CAST(q AS DOUBLE)) AS total FROM sizes, (SELECT unnest(range(1, n + 1)) AS q FROM sizes))
+  SELECT {r('gap / (n * m)', 'ks_score')}, n AS current_rows, m AS reference_rows, 'ks_test' AS method,
+    {r('least(1.0, 1 - coalesce((SELECT max(c) FROM walk WHERE k = n + m), 0) / total)', 'p_value')} FROM sizes, gaps, orders""").replace(
+        "WITH obs", "WITH RECURSIVE obs", 1))
+def ks_drift_exact(spark, sf_dir):
+    def hourly(rows):
+        return rows.filter("temperature IS NOT NULL").groupBy(F.hour("event_time")).agg(
+            F.round(F.avg("temperature")).alias("temperature"))
+
+    current, reference = halves(observations(spark, sf_dir))
+    return rounded(Q.ks_drift(hourly(current), hourly(reference), "temperature"))
 
 
 MEAN_DRIFT = f"""abs(avg(temperature) FILTER (event_time >= TIMESTAMP '{SPLIT_DAY}')

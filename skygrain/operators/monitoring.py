@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from skygrain.functions.values import PHYSICAL_LIMITS, outside
 from skygrain.plans.durable import materialize
@@ -15,19 +18,22 @@ R2_TARGET = 0.85
 MAE_TARGETS = (("1", 2.0), ("3", 3.0))
 MAE_TARGET_OTHER = 4.0
 KS_SERIES_TERMS = 100
+KS_EXACT_ROWS = 10_000  # samples of at most this size each get the exact p-value
 
 
 # Drift and outliers --------------------------------------------------------------------------------------------
 
 
-def ks_drift(current: DataFrame, reference: DataFrame, value: str) -> DataFrame:
-    """Two-sample Kolmogorov–Smirnov statistic, with the asymptotic p-value."""
-    return ks_drifts(current, reference, [value]).drop("feature")
+def ks_drift(current: DataFrame, reference: DataFrame, value: str, exact_rows: int = KS_EXACT_ROWS) -> DataFrame:
+    """Two-sample Kolmogorov–Smirnov statistic and p-value."""
+    return ks_drifts(current, reference, [value], exact_rows).drop("feature")
 
 
-def ks_drifts(current: DataFrame, reference: DataFrame, values: Sequence[str]) -> DataFrame:
+def ks_drifts(current: DataFrame, reference: DataFrame, values: Sequence[str], exact_rows: int = KS_EXACT_ROWS) -> DataFrame:
     """The statistic and p-value of several features, one row per feature, from one scan and one sort.
 
+    The p-value is exact where neither sample has more than ``exact_rows`` values, else that of the limit distribution.
+
     Equal values are counted per feature and side first. The two distribution functions are then running totals over
     the distinct values, summed range by range, so no task sees a whole sorted sample. A feature without values on one
     side has null scores.
@@ -54,7 +60,10 @@ def ks_drifts(current: DataFrame, reference: DataFrame, values: Sequence[str]) -
                  of(v, F.col("b_total")).alias("reference_rows")).alias(f"_{i}")
         for i, v in enumerate(values)
     ]).select(F.inline(F.array(*[f"_{i}" for i in range(len(values))])))
-    scored = F.when(F.col("ks_score").isNotNull(), ks_p_value())
+    n, m = F.col("current_rows"), F.col("reference_rows")
+    small = F.greatest(n, m) <= exact_rows
+    exact = ks_exact(F.when(small, n), F.when(small, m), F.when(small, F.col("ks_score")))
+    scored = F.when(F.col("ks_score").isNotNull(), F.when(small, exact).otherwise(ks_p_value()) if exact_rows else ks_p_value())
     return stats.withColumn("p_value", scored).withColumn("method", F.lit("ks_test"))
 
 
@@ -70,6 +79,42 @@ def ks_p_value() -> Column:
     return F.when(x2 < 0.04, 1.0).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
+def ks_exact_p(n: int, m: int, score: float) -> float:
+    """Chance that two samples of one distribution differ by ``score`` or more, by counting lattice paths.
+
+    A merged order of both samples is a path from (0, 0) to (n, m); its distance is below the score if it stays where
+    ``abs(i m - j n)`` is below the score times n m. Paths that do are counted row by row as running sums over the band's
+    columns, with each row scaled by its largest count.
+    """
+    limit = round(score * n * m)  # the score is a difference of fractions with these denominators
+    if limit <= 0:
+        return 1.0
+    row, log_scale = np.zeros(m + 1), 0.0
+    row[0] = 1.0
+    for i in range(n + 1):
+        low = max(0, -(-(i * m - limit + 1) // n))
+        high = min(m, (i * m + limit - 1) // n)
+        if low > high:
+            return 1.0
+        inside = np.cumsum(row[low : high + 1])
+        top = inside[-1]
+        if top == 0:
+            return 1.0
+        row[:] = 0.0
+        row[low : high + 1] = inside / top
+        log_scale += math.log(top)
+    paths = math.log(row[m]) + log_scale if row[m] > 0 else -math.inf
+    orders = math.lgamma(n + m + 1) - math.lgamma(n + 1) - math.lgamma(m + 1)
+    return min(1.0, max(0.0, -math.expm1(min(0.0, paths - orders))))
+
+
+@F.pandas_udf(T.DoubleType())
+def ks_exact(n: pd.Series, m: pd.Series, score: pd.Series) -> pd.Series:
+    """``ks_exact_p`` of each row (one row per feature); null where an argument is null."""
+    return pd.Series([None if pd.isna(s) or pd.isna(a) or pd.isna(b) else ks_exact_p(int(a), int(b), float(s))
+                      for a, b, s in zip(n, m, score)], dtype="float64")
+
+
 def mean_drift(current: DataFrame, reference: DataFrame, value: str) -> DataFrame:
     """Absolute difference of the means, as a stand-in for the test statistic."""
     a = current.select(F.col(value).cast("double").alias("a"), F.lit(None).cast("double").alias("b"))

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from skygrain.sources.contracts import validate_contract
+from skygrain.plans.prefix import running_totals
+from skygrain.sources.contracts import REASON, check_contract, validate_contract
 
 
 def partition_backlog(messages: DataFrame) -> DataFrame:
@@ -38,10 +39,27 @@ def total_backlog(backlog: DataFrame) -> DataFrame:
     )
 
 
-def bounded_read(messages: DataFrame, contract: str, max_messages: int | None, order: Sequence[str]) -> DataFrame:
-    """The first ``max_messages`` valid records in order (all of them when None)."""
-    valid, _ = validate_contract(messages, contract)
-    return valid.orderBy(*order).limit(max_messages) if max_messages is not None else valid
+def bounded_read(messages: DataFrame, contract: str, max_messages: int | None, order: Sequence[str],
+                 stop_after: int | None = None) -> DataFrame:
+    """The first ``max_messages`` valid records in order (all of them when None).
+
+    With ``stop_after`` reading also ends where so many invalid messages follow one another. A run of invalid messages
+    is known by the number of valid ones before it, a running total over sorted ranges, so its length is a count per
+    group and no task reads the topic in order.
+    """
+    if stop_after is None:
+        valid, _ = validate_contract(messages, contract)
+        return valid.orderBy(*order).limit(max_messages) if max_messages is not None else valid
+    checked = check_contract(messages, contract)
+    flagged = checked.withColumn("_valid", F.col(REASON).isNull().cast("long"))
+    placed = running_totals(flagged, [], list(order), ["_valid"])
+    before = F.col("_valid_before")
+    runs = placed.filter("_valid = 0").groupBy(before.alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    end = runs.filter(F.col("n") >= stop_after).agg(F.min("at").alias("at")).first()["at"]
+    kept = placed.filter("_valid = 1")
+    for most in (end, max_messages):
+        kept = kept.filter(before < most) if most is not None else kept
+    return kept.drop("_valid", "_valid_before", "_valid_total", REASON)
 
 
 def first_n(messages: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
