@@ -89,7 +89,7 @@ def draws(docs: DataFrame, mixture: Mixture | None = None, domain: Column | None
     """Which documents are drawn: ``doc_id, domain, lang, source, epoch, n_tokens`` (or the columns in ``keep``).
 
     A leaf is a (domain, language, source); nulls count as the empty name. Tokens are words between white space; a
-    null or empty text has none and is never drawn short: it costs nothing and comes with the first epoch. Within an
+    null or empty text has none, costs nothing and comes once, with the first epoch, whatever its leaf's budget. Within an
     epoch a leaf's documents are ordered by a hash of (seed, epoch, id, text); equal rows are drawn together. A leaf
     takes whole epochs while its budget lasts, then the prefix of the next epoch whose tokens stay within the
     budget. An empty table gives an empty result; other columns pass through or are ignored.
@@ -123,7 +123,8 @@ def draws(docs: DataFrame, mixture: Mixture | None = None, domain: Column | None
     seeded = F.xxhash64(F.lit(mixture.seed), F.col("whole"), F.col("doc.doc_id"), text_hash)
     keyed = rows.join(F.broadcast(plan), list(LEVELS)).withColumn("key", F.shiftrightunsigned(seeded, 4))
     light = materialize(
-        keyed.filter(F.col("whole") < mixture.max_epochs).select(*LEVELS, "key", "n_tokens"), "mixture-keys")
+        keyed.filter((F.col("whole") < mixture.max_epochs) & (F.col("n_tokens") > 0)).select(*LEVELS, "key", "n_tokens"),
+        "mixture-keys")
     cut = {tuple(s[:3]): [0, s[4]] for s in state}
     for level in range(6):
         # ``cut``: every key below it is taken; the bucket that starts there is being cut.
@@ -158,8 +159,9 @@ def draws(docs: DataFrame, mixture: Mixture | None = None, domain: Column | None
             break
     ends = F.broadcast(spark.createDataFrame(
         [(*k, c) for k, (c, _) in cut.items()], "domain string, lang string, source string, cut long"))
+    short = ((F.col("whole") < mixture.max_epochs) & (F.col("key") < F.col("cut"))).cast("int")
     drawn = keyed.join(ends, list(LEVELS)).withColumn(
-        "times", F.col("whole") + ((F.col("whole") < mixture.max_epochs) & (F.col("key") < F.col("cut"))).cast("int"))
+        "times", F.when(F.col("n_tokens") == 0, 1).otherwise(F.col("whole") + short))
     each = drawn.filter("times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
     if keep is not None:
         return each.select(*[F.col(f"doc.`{c}`").alias(c) for c in keep])

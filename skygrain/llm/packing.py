@@ -8,8 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from skygrain.plans.durable import materialize
+
 CAPACITY = 4096
-SHARD_ROWS = 20_000  # pieces that one group packs; fixes the number of groups from the number of rows
+SHARD_ROWS = 20_000  # pieces that one group packs; fixes the number of groups from the number of pieces
 SOURCE_BITS, CLUSTER_BITS = 64, 256
 
 
@@ -114,7 +116,7 @@ def pack(
     is any column that names a duplicate cluster; by default it is the text itself, so copies are kept apart.
     Repeated rows are packed separately. An empty table gives an empty result; other columns are ignored.
 
-    Rows are dealt by hash into groups of about ``shard_rows`` pieces, whatever source or cluster they belong to, and
+    Pieces are dealt by hash into groups of about ``shard_rows``, whatever source or cluster they belong to, and
     each group is packed in order of falling size, so a task holds one group's open bins only.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -122,14 +124,14 @@ def pack(
     group = F.when(F.length(text) > 0, F.xxhash64(text)) if cluster is None else cluster
     bit = lambda c, bits, n: F.when(c.isNotNull(), F.pmod(F.crc32(c.cast("string")), F.lit(bits))).otherwise(
         F.lit(-1)).cast("int").alias(n)
-    sized = docs.select(
+    sized = materialize(docs.select(
         F.col("doc_id"), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("total"),
         bit(name, SOURCE_BITS, "source_bit"), bit(group, CLUSTER_BITS, "cluster_bit"),
-    )
-    pieces = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("total") / capacity).cast("int") - 1, F.lit(0)))
-    cut = sized.withColumn("piece", F.explode(pieces)).withColumn("start", F.col("piece").cast("long") * capacity)
+    ), "sized")
+    last = F.greatest(F.ceil(F.col("total") / capacity).cast("int") - 1, F.lit(0))
+    cut = sized.withColumn("piece", F.explode(F.sequence(F.lit(0), last))).withColumn("start", F.col("piece").cast("long") * capacity)
     cut = cut.withColumn("size", F.least(F.col("total") - F.col("start"), F.lit(capacity)).cast("long"))
-    shards = max(1, -(-docs.count() // shard_rows))
+    shards = max(1, -(-(sized.agg(F.sum(last + 1)).first()[0] or 0) // shard_rows))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (
         cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "source_bit", "total", "piece"), F.lit(shards)))

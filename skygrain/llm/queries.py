@@ -53,18 +53,19 @@ def _secret_sql() -> str:
         f"coalesce(string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' "
         f"ORDER BY start, rank){which}, '')"
     )
-    return f"""WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+    return f"""WITH texts AS (SELECT doc_id, source, concat_ws('/', source, lang) AS repo, coalesce(text, '') AS t FROM documents),
 found AS ({' UNION ALL '.join(parts)}),
-placed AS (SELECT f.*, coalesce(d.source, '') AS source FROM found f JOIN texts d USING (doc_id)),
-spread AS (SELECT value, count(DISTINCT source) AS n_owners FROM placed GROUP BY value),
-judged AS (SELECT p.*, CASE WHEN n_owners >= 3 THEN 'copied'
+placed AS (SELECT f.*, coalesce(d.source, '') AS source, d.repo FROM found f JOIN texts d USING (doc_id)),
+spread AS (SELECT value, count(DISTINCT source) AS n_owners, count(DISTINCT (repo, source)) AS n_repos FROM placed GROUP BY value),
+judged AS (SELECT p.*, n_owners, n_repos, CASE WHEN n_owners >= 3 OR n_repos >= 4 THEN 'copied'
     WHEN n_owners = 1 AND regexp_matches(p.value, '[0-9]') AND regexp_matches(p.value, '[A-Za-z]')
       AND NOT regexp_matches(p.value, 'example|changeme|placeholder|your[_-]|dummy|xxxx|\\*\\*\\*\\*', 'i')
       AND length(replace(p.value, p.value[1], '')) > 0 THEN 'live' ELSE 'unclear' END AS verdict
   FROM placed p JOIN spread USING (value))
 SELECT t.doc_id, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k, *_ in secrets.BASE_KINDS)},
   sha256({joined(' FILTER (rank < 3)')}) AS base_sha256, {joined(' FILTER (kind IS NOT NULL)')} AS spans,
-  {', '.join(f"count(*) FILTER (verdict = '{v}') AS n_{v}" for v in ('live', 'copied', 'unclear'))}
+  {', '.join(f"count(*) FILTER (verdict = '{v}') AS n_{v}" for v in ('live', 'copied', 'unclear'))},
+  max(n_owners) AS max_owners, max(n_repos) AS max_repos
 FROM texts t LEFT JOIN judged j ON t.doc_id = j.doc_id GROUP BY t.doc_id"""
 
 

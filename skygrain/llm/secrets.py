@@ -21,6 +21,7 @@ ADDED_KINDS = (
         0, 10,
     ),
 )
+CHUNK = 256  # matches of a text that are placed one after another; chunks are placed apart
 # Words that mark a value as a placeholder.
 PLACEHOLDER = r"(?i)example|changeme|placeholder|your[_-]|dummy|xxxx|\*\*\*\*|^(.)\1+$"
 
@@ -41,13 +42,28 @@ def spans(text: Column, kind: str, order: int, pattern: str, group: int, least:
         found = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
         return F.struct(end.alias("at"), F.array_append(acc["out"], found).alias("out"))
 
+    def bases(chunks: Column) -> Column:
+        """Where each chunk starts: the lengths of all chunks before it."""
+        size = lambda chunk: F.aggregate(chunk, F.lit(0), lambda n, x: n + x["gap"] + F.length(x["hit"]))
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(F.transform(chunks, size), first, lambda acc, n: F.struct(
+            (acc["at"] + n).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")), lambda acc: acc["out"])
+
+    def placed_in(chunks: Column) -> Column:
+        return F.flatten(F.zip_with(chunks, bases(chunks), lambda chunk, at: F.aggregate(
+            chunk, F.struct(at.alias("at"), empty.alias("out")), place, lambda acc: acc["out"])))
+
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
     rows = F.zip_with(
         F.slice(gaps, F.lit(1), F.size(hits)),
         F.arrays_zip(hits.alias("hit"), values.alias("value")),
         lambda g, h: F.struct(g.alias("gap"), h["hit"].alias("hit"), h["value"].alias("value")),
     )
-    placed = F.aggregate(rows, F.struct(F.lit(0).alias("at"), empty.alias("out")), place, lambda acc: acc["out"])
+    cut = lambda found: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(found) - 1) / CHUNK).cast("int")), lambda c: F.slice(found, c * CHUNK + 1, CHUNK))
+    # Appending copies a list, so lists stay short; a list of one keeps what is in it from being worked out twice.
+    chunked = F.flatten(F.transform(F.array(rows), cut))
+    placed = F.flatten(F.transform(F.array(chunked), placed_in))
     kept = F.filter(placed, lambda x: F.length(x["value"]) >= least)
     shaped = F.transform(
         kept,
@@ -76,12 +92,14 @@ def find_secrets(
     repo: Column | None = None,
     owner: Column | None = None,
     copied_owners: int = 3,
+    copied_repos: int = 4,
 ) -> DataFrame:
     """Secret candidates of every row and how widely each value is spread over the corpus.
 
     Returns one row per input row: ``doc_id, found`` (array of ``start, rank, kind, end, hash, odd, n_repos,
-    n_owners, verdict``, by start, then kind). ``verdict`` is ``copied`` where at least ``copied_owners`` owners hold
-    the value, ``live`` where one owner holds it and it looks like a real credential, and ``unclear`` otherwise.
+    n_owners, verdict``, by start, then kind). ``verdict`` is ``copied`` where at least ``copied_owners`` owners or
+    ``copied_repos`` repositories hold the value, ``live`` where one owner holds it, in fewer repositories, and it looks
+    like a real credential, and ``unclear`` otherwise.
 
     Values are counted by hash over distinct (value, repository, owner), combined within tasks first; null
     repositories or owners count as one unnamed one. A null text counts as empty and has no candidates; an empty
@@ -112,7 +130,7 @@ def find_secrets(
         .groupBy("hash").agg(F.sum("n_repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
     )
     verdict = (
-        F.when(F.col("n_owners") >= copied_owners, "copied")
+        F.when((F.col("n_owners") >= copied_owners) | (F.col("n_repos") >= copied_repos), "copied")
         .when((F.col("n_owners") == 1) & F.col("x.odd"), "live")
         .otherwise("unclear")
     )
@@ -127,7 +145,9 @@ def find_secrets(
 
 
 def secret_digest(found: DataFrame) -> DataFrame:
-    """The report of the scan: counts per base kind, digest of the base spans, all spans, and counts per verdict."""
+    """The report of the scan: counts per base kind, digest of the base spans, all spans, counts per verdict, and the
+    largest numbers of owners and repositories that a value of the row is found in (null without values).
+    """
     none = F.array().cast(found.schema["found"].dataType)
     rows = found.select("doc_id", F.coalesce("found", none).alias("found"))
     count = lambda field, value: F.size(F.filter("found", lambda x: x[field] == value)).cast("long")
@@ -138,4 +158,5 @@ def secret_digest(found: DataFrame) -> DataFrame:
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.col("found")).alias("spans"),
         *[count("verdict", v).alias(f"n_{v}") for v in ("live", "copied", "unclear")],
+        *[F.array_max(F.transform("found", lambda x: x[f"n_{n}"])).alias(f"max_{n}") for n in ("owners", "repos")],
     )

@@ -33,6 +33,12 @@ def rotate(x: np.ndarray, seed: int) -> np.ndarray:
     return x
 
 
+def levelled(x: np.ndarray) -> np.ndarray:
+    """Each vector times the power of two that brings its largest component below 1: exact, and no norm over- or underflows."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, keepdims=True))
+    return np.ldexp(x, -exponent)
+
+
 def corners(x: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """The nearest and second-nearest corner of the cross-polytope to each rotated vector."""
     y = rotate(x, seed)
@@ -67,7 +73,7 @@ def _hash(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.array([len(v) for v in vectors])
         for d in np.unique(size):
             at = np.flatnonzero(size == d)
-            found = codes(np.stack([vectors[i] for i in at]))
+            found = codes(levelled(np.stack([vectors[i] for i in at])))
             part = batch.take(pa.array(at))
             yield pa.RecordBatch.from_arrays(
                 [part.column("rep"), part.column("copies"), part.column("label"), part.column("vector"),
@@ -96,6 +102,7 @@ def _compare(least: float):
         vectors = np.zeros((len(name), max(width)))
         for k, v in enumerate(rows.column("vector").to_pylist()):
             vectors[k, : len(v)] = v
+        vectors = levelled(vectors)
         vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
         a_all, b_all = [], []
         for step in range(1, len(name)):
