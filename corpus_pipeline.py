@@ -41,7 +41,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-# The toxicity model and the packing are not expressible in SQL; tests hold the stages against brute-force versions.
+# The toxicity model and the packing are not expressible in SQL; tests hold mixing and packing against plain versions.
 ORACLE_SQL = None
 
 
