@@ -26,8 +26,10 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     ones = np.cumsum([0, *np.bitwise_count(words).tolist()]).astype(np.uint32)
     packed = np.zeros(0, np.uint8)
     if low:
-        each = (values[:, None] >> np.arange(low, dtype=np.uint64)) & np.uint64(1)
-        packed = np.packbits(each.astype(np.uint8).ravel(), bitorder="little")
+        each = np.empty((n, low), np.uint8)
+        for bit in range(low):
+            each[:, bit] = (values >> np.uint64(bit)) & np.uint64(1)
+        packed = np.packbits(each.ravel(), bitorder="little")
     packed = np.concatenate([packed, np.zeros(-len(packed) % 8 + 16, np.uint8)]).view(np.uint64)
     return {"size": np.array([n, low], np.int64), "high": words, "ones": ones, "low": packed}
 

@@ -16,7 +16,7 @@ from skygrain.plans.durable import materialize
 END = np.uint64(0x454E44)  # the token after the last word of every text
 RARE, START = np.uint64(0x52415245), np.uint64(0x5354415254)  # the class of words outside the trie; before a text
 LEAST = 2  # words, bigrams and trigrams that occur so often in the training rows are learned
-BLOCK_BYTES = 4_000_000  # text that one block holds
+BLOCK_BYTES = 1_500_000  # text that one block holds
 SHARD_KEYS = 400_000  # tokens of the corpus for one shard
 QUARTERS = 4  # discounted counts are sent as whole numbers of quarters
 LOWEST = -12.0  # log10 of the least of the 256 levels of a block's trie
