@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,12 +30,22 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/skygrain/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, free: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Parquet rather than ``checkpoint()``: later passes read only the columns they name.
+    Parquet rather than ``checkpoint()``: later passes read only the columns they name. With ``free`` the shuffle files
+    of the write are deleted at its end, as the written table stands in for them.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP_CONF, None)
+    if free:
+        spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free and before is None:
+            spark.conf.unset(CLEANUP_CONF)
+        elif free:
+            spark.conf.set(CLEANUP_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
