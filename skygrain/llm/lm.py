@@ -52,7 +52,7 @@ def _lay(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "held_out": pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), part.column("held_out")),
                 "n_tokens": texts.lists(np.bincount(row, minlength=n), np.array([n]), pa.int64()),
                 "words": pa.array([words.tobytes()], pa.binary()),
-                "codes": pa.array([code.astype(np.int32).tobytes()], pa.binary()),
+                "codes": pa.array([_pack(code)], pa.binary()),
             })
             made += 1
 
@@ -74,7 +74,7 @@ class Block:
         self.block, self.doc_id, self.held_out = row["block"].as_py(), row["doc_id"], row["held_out"]
         self.n_tokens = row["n_tokens"].values.to_numpy()
         self.words = np.frombuffer(row["words"].as_py(), np.uint64)
-        self.code = np.frombuffer(row["codes"].as_py(), np.int32)
+        self.code = _unpack(row["codes"].as_py()).astype(np.int32)
         self.row = np.repeat(np.arange(len(self.n_tokens)), self.n_tokens)
         self.learn = (~np.array(self.held_out.as_py(), bool)[self.row]).astype(float)
         for name, add in (("words", self._words), ("pairs", self._pairs), ("triples", self._triples)):
@@ -86,7 +86,7 @@ class Block:
         """(sum, whether this block is the one that reports it) of each key; answers come in order of the keys."""
         out = np.zeros(len(keys), np.int64)
         if len(keys):
-            out[np.argsort(keys)] = np.frombuffer(raw, np.int64)
+            out[np.argsort(keys)] = _unpack(raw)
         return out >> 1, (out & 1) > 0
 
     def _words(self, raw: bytes) -> None:
@@ -189,7 +189,7 @@ def _together(answers: pa.Table) -> pa.Table:
     order = np.argsort(answers.column("shard").to_numpy())
     raw = answers.column("sums").to_pylist()
     joined = np.concatenate([_unpack(raw[i]) for i in order]).astype(np.int64)
-    return pa.table({"block": answers.column("block").slice(0, 1), "sums": pa.array([joined.tobytes()], pa.binary())})
+    return pa.table({"block": answers.column("block").slice(0, 1), "sums": pa.array([_pack(joined)], pa.binary())})
 
 
 def _before(ids: np.ndarray, row: np.ndarray, start: int) -> np.ndarray:
@@ -355,7 +355,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     def answered(name: str, least: int) -> DataFrame:
         sent = having.mapInArrow(_send(name, bits), "shard long, block long, keys binary, n binary")
         return materialize(sent.groupBy("shard").applyInArrow(
-            _add_up(least), "block long, shard long, sums binary, totals array<long>"), f"token-{name}")
+            _add_up(least), "block long, shard long, sums binary, totals array<long>"), f"token-{name}", free=True)
 
     def with_answers(name: str, answers: DataFrame) -> DataFrame:
         one = answers.select("block", "shard", "sums").groupBy("block").applyInArrow(
