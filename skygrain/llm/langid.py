@@ -17,7 +17,7 @@ from skygrain.plans.durable import materialize
 
 ORDERS = (5, 4, 3, 2, 1)
 LEAST = 2  # words and n-grams that occur so often in the training rows are known, however large the corpus
-CARRIED_SHARE = 1e-6  # words with this share of all training words are broadcast, so at most a million; joins find the others
+CARRIED = 500_000  # at most so many of the most frequent words are broadcast; joins find the others
 ADDED = 0.1  # added to each count
 HELD_WORDS = 400_000
 HELD_GRAMS = 3_000_000
@@ -146,12 +146,20 @@ class LanguageModel:
     base: dict[int, np.ndarray]
     words: DataFrame | None = None  # word, total, counts
     grams: DataFrame | None = None  # size, gram, total, counts
-    n_words: int = 0
 
     def carried(self) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """(words, start of each one's entries, languages, gains) of the most frequent words; at most 1 / CARRIED_SHARE."""
-        often = self.words.filter(F.col("total") >= max(LEAST, CARRIED_SHARE * self.n_words))
-        found = often.select("word", "counts").toArrow().combine_chunks()
+        """(words, start of each one's entries, languages, gains) of the most frequent words; at most ``CARRIED``.
+
+        The least count is the lowest power of two that keeps them within that number, from at most 63 counts.
+        """
+        power = F.floor(F.log2("total")).cast("int").alias("power")
+        least, words = 62, 0
+        for r in sorted(self.words.groupBy(power).count().collect(), key=lambda r: -r.power):
+            words += r["count"]
+            if words > CARRIED:
+                break
+            least = r.power
+        found = self.words.filter(F.col("total") >= F.lit(1 << least)).select("word", "counts").toArrow().combine_chunks()
         if not found.num_rows:
             return [], np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0)
         counts = found.column("counts").combine_chunks()
@@ -179,9 +187,9 @@ class LanguageModel:
             here = materialize(sums.select("word", F.lit(order).alias("level"), F.transform(
                 F.filter("e", lambda x: x["k"] >= 0),
                 lambda x: F.struct(x["k"].alias("k"), (x["g"] / F.col("n")).alias("g"))).cast(ENTRIES).alias("entries"),
-            ), "language-backoff")
+            ), "language-backoff", free=True)
             found = here if found is None else found.unionByName(here)
-            open_ = materialize(open_.join(here.select("word"), "word", "left_anti"), "language-open")
+            open_ = materialize(open_.join(here.select("word"), "word", "left_anti"), "language-open", free=True)
             if open_.isEmpty():
                 break
         return found
@@ -210,10 +218,10 @@ def train(docs: DataFrame) -> LanguageModel:
         return LanguageModel([], np.zeros(0), {})
     rows = rows.withColumn("lang", (F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int"))
     counted = rows.mapInArrow(_count_words, "word string, lang int, n long")
-    words = materialize(_by_lang(counted, ["word"]), "language-words")
+    words = materialize(_by_lang(counted, ["word"]), "language-words", free=True)
     long = words.select("word", F.explode("counts").alias("c")).select("word", "c.lang", "c.n")
     grams = _by_lang(long.mapInArrow(_count_grams, "size int, gram long, lang int, n long"), ["size", "gram"])
-    grams = materialize(grams.filter(F.col("total") >= LEAST), "language-grams")
+    grams = materialize(grams.filter(F.col("total") >= LEAST), "language-grams", free=True)
     known = words.filter(F.col("total") >= LEAST)
     totals = np.zeros(len(langs))
     for r in long.groupBy("lang").agg(F.sum("n").alias("n")).collect():
@@ -225,7 +233,7 @@ def train(docs: DataFrame) -> LanguageModel:
     sums[0], kinds[0] = totals, known.count()
     base = {o: np.log(ADDED / (s + ADDED * max(kinds[o], 1))) for o, s in sums.items()}
     prior = np.log((totals + 1) / (totals + 1).sum())
-    return LanguageModel(langs, prior, base, known, grams, int(totals.sum()))
+    return LanguageModel(langs, prior, base, known, grams)
 
 
 def _first_pass(shared):
@@ -281,15 +289,15 @@ def _decide(langs: list[str], base: dict[int, np.ndarray]):
 
     def decide(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, width = batch.num_rows, len(langs)
-        sums = batch.column("sums").flatten().to_numpy(zero_copy_only=False).reshape(n, width).copy()
+        sums = batch.column("sums").flatten().to_numpy(zero_copy_only=False).reshape(n, width)
         more = batch.column("more")
         row = np.repeat(np.arange(n), more.value_lengths().fill_null(0).to_numpy())
-        k, g = (more.flatten().field(f).to_numpy(zero_copy_only=False) for f in ("k", "g"))
-        own = k >= 0
-        sums += np.bincount(row[own] * width + k[own], g[own], n * width).reshape(n, width)
-        for level, scores in base.items():
-            here = k == -1 - level
-            sums += np.bincount(row[here], g[here], n)[:, None] * scores
+        level, entries = (more.flatten().field(f) for f in ("level", "entries"))
+        level, lengths = level.to_numpy(), entries.value_lengths().to_numpy()
+        k, g = (entries.flatten().field(f).to_numpy(zero_copy_only=False) for f in ("k", "g"))
+        sums = sums + np.bincount(np.repeat(row, lengths) * width + k, g, n * width).reshape(n, width)
+        for one, scores in base.items():
+            sums += np.bincount(row[level == one], minlength=n)[:, None] * scores
         best = sums.argmax(1)
         share = 1.0 / np.exp(sums - sums.max(1, keepdims=True)).sum(1)
         spoken = batch.column("spoken").to_pylist()
@@ -312,7 +320,7 @@ def identify(
     row has a language to learn from. A null id is never held out. Ties go to the first language in alphabetical
     order. Repeated rows are predicted alike; other columns are ignored.
 
-    Frequent words (``CARRIED_SHARE``) are broadcast and scored where the text lies. All other words of the texts are
+    Frequent words (``CARRIED``) are broadcast and scored where the text lies. All other words of the texts are
     looked up by join, once per different word, and those that are not known go on to the n-grams. Which words are
     broadcast changes the plan only, not the scores.
     """
@@ -328,20 +336,14 @@ def identify(
     passed = materialize(rows.select("doc_id", "held_out", "text").mapInArrow(
         _first_pass(shared),
         f"row long, doc_id {kind}, held_out boolean, spoken boolean, sums array<double>, rest array<string>",
-    ), "language-texts")
+    ), "language-texts", free=True)
     rest = passed.select("row", F.explode("rest").alias("word"))
     asked = materialize(
-        rest.select("word").distinct().join(model.words.select("word", "counts"), "word", "left"), "language-asked")
+        rest.select("word").distinct().join(model.words.select("word", "counts"), "word", "left"), "language-asked", free=True)
     by_word = asked.filter("counts is not null").select(
         "word", F.lit(0).alias("level"), _gains(F.col("counts")).alias("entries"))
     answers = by_word.unionByName(model.backoff(asked.filter("counts is null")))
-    level = F.struct((-1 - F.col("level")).alias("k"), F.lit(1.0).alias("g"))
-    more = (
-        rest.join(answers, "word")
-        .select("row", F.explode(F.concat("entries", F.array(level).cast(ENTRIES))).alias("e"))
-        .groupBy("row", "e.k").agg(F.sum("e.g").alias("g"))
-        .groupBy("row").agg(F.collect_list(F.struct("k", "g")).cast(ENTRIES).alias("more"))
-    )
+    more = rest.join(answers, "word").groupBy("row").agg(F.collect_list(F.struct("level", "entries")).alias("more"))
     return passed.drop("rest").join(more, "row", "left").mapInArrow(
         _decide(model.langs, model.base), f"doc_id {kind}, held_out boolean, lang_pred string, score double"
     )

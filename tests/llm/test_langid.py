@@ -80,9 +80,9 @@ def rows():
             (304, "漢字", None), (None, "klm nop", "cc"), (305, "K" * 5000, None), (306, "жж", None)]
 
 
-@pytest.mark.parametrize("share", [0.0, 1e-3, 2.0])  # every known word broadcast, some, none
-def test_equals_the_plain_version_whatever_is_broadcast(spark, monkeypatch, rows, share):
-    monkeypatch.setattr(langid, "CARRIED_SHARE", share)
+@pytest.mark.parametrize("carried", [10**6, 50, 0])  # every known word broadcast, some, none
+def test_equals_the_plain_version_whatever_is_broadcast(spark, monkeypatch, rows, carried):
+    monkeypatch.setattr(langid, "CARRIED", carried)
     monkeypatch.setattr(langid, "CELLS", 100)
     docs = spark.createDataFrame([(i, t, lang, n, "x", 1) for n, (i, t, lang) in enumerate(rows)],
                                  "doc_id long, text string, lang string, row int, word string, k int")
