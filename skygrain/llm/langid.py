@@ -18,6 +18,7 @@ from skygrain.plans.durable import materialize
 ORDERS = (5, 4, 3, 2, 1)
 LEAST = 2  # words and n-grams that occur so often in the training rows are known, however large the corpus
 CARRIED = 500_000  # at most so many of the most frequent words are broadcast; joins find the others
+CARRIED_ENTRIES = 4_000_000  # n-grams of a length with at most so many counts are broadcast to their join
 ADDED = 0.1  # added to each count
 HELD_WORDS = 400_000
 HELD_GRAMS = 3_000_000
@@ -146,6 +147,7 @@ class LanguageModel:
     base: dict[int, np.ndarray]
     words: DataFrame | None = None  # word, total, counts
     grams: DataFrame | None = None  # size, gram, total, counts
+    entries: dict[int, int] | None = None  # counts in the n-grams of each length
 
     def carried(self) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """(words, start of each one's entries, languages, gains) of the most frequent words; at most ``CARRIED``.
@@ -170,13 +172,14 @@ class LanguageModel:
     def backoff(self, words: DataFrame) -> DataFrame:
         """(word, level, entries) of different words that are not known: mean gains over the longest n-grams of which any is known.
 
-        One join per length, from long to short; a word leaves with the first length that knows it. Words of which
+        One join per length, from long to short, by broadcast where the table is small by count; a word leaves with the first length that knows it. Words of which
         not even a letter is known give no row.
         """
         open_, found = words.select("word"), None
         for order in ORDERS:
             pairs = open_.mapInArrow(_word_grams(order), "word string, gram long")
-            hits = pairs.join(self.grams.filter(F.col("size") == order).select("gram", "counts"), "gram")
+            table = self.grams.filter(F.col("size") == order).select("gram", "counts")
+            hits = pairs.join(F.broadcast(table) if self.entries[order] <= CARRIED_ENTRIES else table, "gram")
             entries = F.concat(_gains(F.col("counts")), F.array(F.struct(F.lit(-1).alias("k"), F.lit(1.0).alias("g"))))
             sums = (
                 hits.select("word", F.explode(entries.cast(ENTRIES)).alias("e"))
@@ -229,11 +232,13 @@ def train(docs: DataFrame) -> LanguageModel:
     sums = {o: np.zeros(len(langs)) for o in ORDERS}
     for r in grams.select("size", F.explode("counts").alias("c")).groupBy("size", "c.lang").agg(F.sum("c.n").alias("n")).collect():
         sums[r["size"]][r.lang] = r.n
-    kinds = dict.fromkeys(ORDERS, 0) | {r["size"]: r["count"] for r in grams.groupBy("size").count().collect()}
+    kinds, entries = dict.fromkeys(ORDERS, 0), dict.fromkeys(ORDERS, 0)
+    for r in grams.groupBy("size").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.size("counts")).alias("entries")).collect():
+        kinds[r["size"]], entries[r["size"]] = r.kinds, r.entries
     sums[0], kinds[0] = totals, known.count()
     base = {o: np.log(ADDED / (s + ADDED * max(kinds[o], 1))) for o, s in sums.items()}
     prior = np.log((totals + 1) / (totals + 1).sum())
-    return LanguageModel(langs, prior, base, known, grams)
+    return LanguageModel(langs, prior, base, known, grams, entries)
 
 
 def _first_pass(shared):

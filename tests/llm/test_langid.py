@@ -84,6 +84,7 @@ def rows():
 def test_equals_the_plain_version_whatever_is_broadcast(spark, monkeypatch, rows, carried):
     monkeypatch.setattr(langid, "CARRIED", carried)
     monkeypatch.setattr(langid, "CELLS", 100)
+    monkeypatch.setattr(langid, "CARRIED_ENTRIES", 20 * carried)
     docs = spark.createDataFrame([(i, t, lang, n, "x", 1) for n, (i, t, lang) in enumerate(rows)],
                                  "doc_id long, text string, lang string, row int, word string, k int")
     got = langid.identify(docs, F.col("doc_id") % 3 == 1).collect()
