@@ -14,10 +14,10 @@ from skygrain.llm import elias, texts
 from skygrain.plans.durable import materialize
 
 END = np.uint64(0x454E44)  # the token after the last word of every text
-RARE, START = np.uint64(0x52415245), np.uint64(0x5354415254)  # the class of words outside the trie; before a text
+RARE, START, FIRST = 0, 1, 2  # numbers of the class of words outside the trie, of the place before a text, of words
 LEAST = 2  # words, bigrams and trigrams that occur so often in the training rows are learned
 BLOCK_BYTES = 1_500_000  # text that one block holds
-SHARD_KEYS = 400_000  # tokens of the corpus for one shard
+SHARD_TOKENS = 1_600_000  # tokens of the corpus for one shard
 QUARTERS = 4  # discounted counts are sent as whole numbers of quarters
 LOWEST = -12.0  # log10 of the least of the 256 levels of a block's trie
 DISCOUNT = 0.75
@@ -58,50 +58,90 @@ def _lay(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Whole numbers from 0 in the fewest bytes each."""
+    """Whole numbers from 0, compressed with bytes of the same weight side by side: most high bytes are 0."""
     width = np.min_scalar_type(values.max()).itemsize if len(values) else 1
-    return bytes([width]) + values.astype(f"u{width}").tobytes()
+    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    return bytes([width]) + len(values).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"u{raw[0]}", offset=1).astype(np.int64)
+    width, n = raw[0], int.from_bytes(raw[1:9], "little")
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.decompress(raw[9:], n * width, "zstd", asbytes=True), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
+
+
+def _pack_keys(columns: list[np.ndarray]) -> list[bytes]:
+    """Columns of keys that ascend by the first one, which goes as steps."""
+    first, *others = columns
+    return [_pack(np.diff(first, prepend=np.uint64(0))), *map(_pack, others)]
+
+
+def _unpack_keys(raw: list[bytes]) -> list[np.ndarray]:
+    first, *others = (_unpack(x).view(np.uint64) for x in raw)
+    return [np.cumsum(first, dtype=np.uint64), *others]
+
+
+def _hash(columns: list[np.ndarray]) -> np.ndarray:
+    """64-bit hash of each key: of an n-gram, the numbers of its words; of a word, the hash it has already."""
+    out = columns[0]
+    for column in columns[1:]:
+        out = texts.mix(texts.mix(out) * np.uint64(0x9E3779B97F4A7C15) + column)
+    return out
 
 
 class Block:
-    """A row of ``_lay`` and what follows from the answers it has: ``in_words``, ``in_pairs``, ``in_triples``."""
+    """A row of ``_lay`` and what follows from the answers it has: ``in_words``, ``in_pairs``, ``in_triples``.
 
-    def __init__(self, row: dict):
+    Keys go to the shard of their hash; a shard's answers come in the order in which the block holds the keys.
+    """
+
+    def __init__(self, row: dict, bits: int):
         self.block, self.doc_id, self.held_out = row["block"].as_py(), row["doc_id"], row["held_out"]
+        self.bits = bits
         self.n_tokens = row["n_tokens"].values.to_numpy()
-        self.words = np.frombuffer(row["words"].as_py(), np.uint64)
         self.code = _unpack(row["codes"].as_py()).astype(np.int32)
         self.row = np.repeat(np.arange(len(self.n_tokens)), self.n_tokens)
         self.learn = (~np.array(self.held_out.as_py(), bool)[self.row]).astype(float)
-        for name, add in (("words", self._words), ("pairs", self._pairs), ("triples", self._triples)):
-            if f"in_{name}" not in row:
-                break
-            add(row[f"in_{name}"].as_py())
-
-    def answer(self, raw: bytes | None, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(sum, whether this block is the one that reports it) of each key; answers come in order of the keys."""
-        out = np.zeros(len(keys), np.int64)
-        if len(keys):
-            out[np.argsort(keys)] = _unpack(raw)
+        if "words" in row:
+            self.words = np.frombuffer(row["words"].as_py(), np.uint64)
+        if "in_words" in row:
+            self._words(row["in_words"].as_py(), row["in_ids"].as_py())
+        if "in_pairs" in row:
+            self._pairs(row["in_pairs"].as_py())
+        if "in_triples" in row:
+            self._triples(row["in_triples"].as_py())
+
+    def shards(self, columns: list[np.ndarray]) -> np.ndarray:
+        return _hash(columns) >> np.uint64(64 - self.bits)
+
+    def answer(self, raw: bytes | None, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(sum, whether this block is the one that reports it) of each key."""
+        out = np.zeros(len(columns[0]), np.int64)
+        if len(out):
+            out[np.argsort(self.shards(columns), kind="stable")] = _unpack(raw)
         return out >> 1, (out & 1) > 0
 
-    def _words(self, raw: bytes) -> None:
-        """Local ids: the block's words of the trie in order of their hashes, the class of all others, the start."""
-        self.counts, _ = self.answer(raw, self.words)
-        self.inside = self.counts >= LEAST
-        self.rare = int(self.inside.sum())
+    def _words(self, raw: bytes, ids: bytes) -> None:
+        """Local ids: the block's words of the trie by their numbers, the class of all others, the start.
+
+        Words lie by their hashes, and so do shards: their answers need no order of their own.
+        """
+        self.counts, ids = _unpack(raw) >> 1, _unpack(ids)
+        self.known = np.flatnonzero(ids >= FIRST)
+        self.known = self.known[np.argsort(ids[self.known])]
+        self.rare = len(self.known)
         self.start, self.size = self.rare + 1, self.rare + 2
-        self.hashes = np.append(self.words[self.inside], [RARE, START])
-        self.w = np.where(self.inside, np.cumsum(self.inside) - 1, self.rare)[self.code]
+        self.ids = np.append(ids[self.known], [RARE, START]).astype(np.uint64)
+        local = np.full(len(ids), self.rare)
+        local[self.known] = np.arange(self.rare)
+        self.w = local[self.code]
         self.before = _before(self.w, self.row, self.start)
         self.fresh = np.ones(len(self.row), bool)
         self.fresh[1:] = self.row[1:] != self.row[:-1]
         self.pairs, self.pair_of = np.unique(self.before * self.size + self.w, return_inverse=True)
-        self.pair_keys = _longer(self.hashes[self.pairs // self.size], self.hashes[self.pairs % self.size])
+        self.pair_keys = [self.ids[self.pairs // self.size], self.ids[self.pairs % self.size]]
 
     def _pairs(self, raw: bytes) -> None:
         """A trigram can be known only where both of its bigrams are."""
@@ -110,16 +150,19 @@ class Block:
         self.later = 1 + np.flatnonzero(known[1:] & known[:-1] & ~self.fresh[1:])
         self.triples, self.triple_of = np.unique(
             self.pair_of[self.later - 1] * self.size + self.w[self.later], return_inverse=True)
-        self.triple_keys = _longer(self.pair_keys[self.triples // self.size], self.hashes[self.triples % self.size])
+        pair = self.triples // self.size
+        self.triple_keys = [*(k[pair] for k in self.pair_keys), self.ids[self.triples % self.size]]
 
     def _triples(self, raw: bytes | None) -> None:
+        """Contexts are words, followed by 0, and known bigrams, the second number one higher."""
         self.triple_n, self.triple_once = self.answer(raw, self.triple_keys)
-        self.context_keys = np.append(self.hashes, self.pair_keys[self.pair_n > 0])
+        first, second = (k[self.pair_n > 0] for k in self.pair_keys)
+        self.context_keys = [np.append(self.ids, first), np.append(np.zeros(self.size, np.uint64), second + np.uint64(1))]
 
-    def asks(self, name: str) -> tuple[np.ndarray, np.ndarray]:
+    def asks(self, name: str) -> tuple[list[np.ndarray], np.ndarray]:
         """(keys, what this block adds to the sum of each)"""
         if name == "words":
-            return self.words, np.bincount(self.code, self.learn, len(self.words))
+            return [self.words], np.bincount(self.code, self.learn, len(self.words))
         if name == "pairs":
             return self.pair_keys, np.bincount(self.pair_of, self.learn, len(self.pairs))
         if name == "triples":
@@ -137,48 +180,53 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
             yield {n: batch.column(n)[i] for n in batch.schema.names}
 
 
-def _longer(gram: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """64-bit hash of an n-gram with one more word."""
-    return texts.mix(texts.mix(gram) * np.uint64(0x9E3779B97F4A7C15) + word)
-
-
 def _send(name: str, bits: int):
-    """A block's keys and counts, cut by the keys' first bits."""
+    """A block's keys and counts, cut by the first bits of the keys' hashes."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            block = Block(row)
+            block = Block(row, bits)
             keys, n = block.asks(name)
-            order = np.argsort(keys)
-            keys, n = keys[order], n[order].astype(np.int64)
-            shard, at = np.unique(keys >> np.uint64(64 - bits), return_index=True)
-            cuts = list(zip(at, [*at[1:], len(keys)]))
+            shards = block.shards(keys)
+            order = np.argsort(shards, kind="stable")
+            keys, n = [k[order] for k in keys], n[order].astype(np.int64)
+            shard, at = np.unique(shards[order], return_index=True)
+            cuts = list(zip(at, [*at[1:], len(n)]))
             yield pa.record_batch({
                 "shard": pa.array(shard.astype(np.int64)), "block": pa.array(np.full(len(shard), block.block)),
-                "keys": pa.array([keys[i:j].tobytes() for i, j in cuts], pa.binary()),
+                "keys": pa.array([_pack_keys([k[i:j] for k in keys]) for i, j in cuts], pa.list_(pa.binary())),
                 "n": pa.array([_pack(n[i:j]) for i, j in cuts], pa.binary())})
 
     return run
 
 
-def _add_up(least: int):
+def _add_up(name: str, least: int, bits: int):
     """Sums over all blocks of one shard's keys, given back to each block in the order it sent them.
 
-    The first row carries totals over the different keys: their sums, how many are above 0, how many and how much of
-    the sums reach ``LEAST``, how many are 1.
+    Bigrams and trigrams below ``least`` are answered with 0. Words of the trie get numbers that differ between shards,
+    lower ones the more frequent they are in their shard. The first row carries totals over the different keys: their
+    sums, how many are above 0, how many and how much of the sums reach ``least``, how many are 1.
     """
     def run(chunks: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x.as_py(), np.uint64) for x in chunks.column("keys")]
+        keys = [_hash(_unpack_keys(x)) for x in chunks.column("keys").to_pylist()]
         n = np.concatenate([_unpack(x.as_py()) for x in chunks.column("n")])
         uniq, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         sums = np.bincount(at, n, len(uniq)).astype(np.int64)
-        high = sums >= LEAST
+        high = sums >= least
         totals = [sums.sum(), (sums > 0).sum(), high.sum(), sums[high].sum(), (sums == 1).sum()]
-        answer = np.where(sums >= least, sums, 0)[at] * 2
-        answer[first] += sums >= least
+        kept = high if name in ("pairs", "triples") else np.ones(len(sums), bool)
+        answer = np.where(kept, sums, 0)[at] * 2
+        answer[first] += kept
         ends = np.cumsum([len(k) for k in keys])
+        cuts = [(j - len(k), j) for k, j in zip(keys, ends)]
+        ids: list[bytes | None] = [None] * len(keys)
+        if name == "words":
+            number = np.full(len(sums), RARE)
+            ranked = np.flatnonzero(high)[np.argsort(-sums[high], kind="stable")]
+            number[ranked] = FIRST + (np.arange(len(ranked)) << bits) + chunks.column("shard")[0].as_py()
+            ids = [_pack(number[at[i:j]]) for i, j in cuts]
         return pa.table({
             "block": chunks.column("block"), "shard": chunks.column("shard"),
-            "sums": pa.array([_pack(answer[j - len(k) : j]) for k, j in zip(keys, ends)], pa.binary()),
+            "sums": pa.array([_pack(answer[i:j]) for i, j in cuts], pa.binary()), "ids": pa.array(ids, pa.binary()),
             "totals": pa.array([[int(x) for x in totals], *[[0] * 5] * (len(keys) - 1)], pa.list_(pa.int64()))})
 
     return run
@@ -187,9 +235,11 @@ def _add_up(least: int):
 def _together(answers: pa.Table) -> pa.Table:
     """One row of a block's answers, in order of the shards."""
     order = np.argsort(answers.column("shard").to_numpy())
-    raw = answers.column("sums").to_pylist()
-    joined = np.concatenate([_unpack(raw[i]) for i in order]).astype(np.int64)
-    return pa.table({"block": answers.column("block").slice(0, 1), "sums": pa.array([_pack(joined)], pa.binary())})
+    out = {"block": answers.column("block").slice(0, 1)}
+    for name in answers.column_names[2:]:
+        raw = answers.column(name).to_pylist()
+        out[name] = pa.array([_pack(np.concatenate([_unpack(raw[i]) for i in order]))], pa.binary())
+    return pa.table(out)
 
 
 def _before(ids: np.ndarray, row: np.ndarray, start: int) -> np.ndarray:
@@ -296,7 +346,7 @@ def _score(facts: dict):
     """Scores of the texts of blocks that have all their answers."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            yield _score_block(Block(row), row["in_contexts"].as_py() if facts["train"] else None, facts)
+            yield _score_block(Block(row, facts["bits"]), row["in_contexts"].as_py() if facts["train"] else None, facts)
 
     return run
 
@@ -306,7 +356,7 @@ def _score_block(b: Block, raw: bytes | None, facts: dict) -> pa.RecordBatch:
     c = b.counts[b.code]
     base = score = np.log10((c + 1) / facts["total"])
     if facts["train"]:
-        counts = np.append(b.counts[b.inside], facts["rare"]).astype(float)
+        counts = np.append(b.counts[b.known], facts["rare"]).astype(float)
         kept, known = b.pair_n > 0, b.triple_n > 0
         context = np.concatenate([counts, [facts["texts"]], b.pair_n[kept]])
         used = b.answer(raw, b.context_keys)[0] / QUARTERS
@@ -326,21 +376,24 @@ def _score_block(b: Block, raw: bytes | None, facts: dict) -> pa.RecordBatch:
         "base_score": pa.array(np.bincount(b.row, base, n)), "score": pa.array(np.bincount(b.row, score, n))})
 
 
-def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_texts(
+    docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST
+) -> DataFrame:
     """Learn from the rows that are not held out, then score every row.
 
     Returns one row per input row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10).
     A null text counts as empty: its only token is the end. A null id is a training row. Without training rows both
     scores are 0. Repeated rows count as often as they occur; other columns are ignored.
 
-    Words and n-grams are known by 64-bit hash. Every word, bigram and trigram that occurs ``LEAST`` times in the
-    training rows is learned, however large the corpus. Texts are laid out in blocks of about ``BLOCK_BYTES``. A block
-    sends each of its words once, then each bigram, then each trigram of known bigrams, to the shard of the hash; the
-    shard adds up the counts of all blocks and answers every block that asked. The mass that contexts leave to shorter
-    ones is added up the same way. From the answers a block makes the part of the trie that its texts can meet. Nothing
-    that grows with the corpus passes through the driver or a broadcast, shards are about ``SHARD_KEYS`` keys each, and
-    a frequent n-gram costs its shard one entry a block. A word outside the trie is scored as its class times the
-    word's share of the class; words never seen share one event, as in the base.
+    Every word, bigram and trigram that occurs ``least`` times in the training rows is learned, however large the
+    corpus. Texts are laid out in blocks of about ``BLOCK_BYTES``. A block sends each of its words once, by 64-bit
+    hash, to the shard of the hash; the shard adds up the counts of all blocks, numbers the words of the trie and
+    answers every block that asked. Bigrams, then trigrams of known bigrams, go the same way as compressed columns of
+    those numbers, where frequent words take the least room, and so does the mass that contexts leave to shorter ones.
+    From the answers a block makes the part of the trie that its texts can meet. Nothing that grows with the corpus
+    passes through the driver or a broadcast, a shard holds the keys of about ``SHARD_TOKENS`` tokens, and a frequent
+    n-gram costs its shard one entry a block. A word outside the trie is scored as its class times the word's share of
+    the class; words never seen share one event, as in the base.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
@@ -350,30 +403,33 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     laid = f"block long, doc_id array<{kind}>, held_out array<boolean>, n_tokens array<long>, words binary, codes binary"
     blocks = materialize(rows.mapInArrow(_lay, laid), "token-blocks")
     n_all = blocks.select(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
-    bits = max(4, math.ceil(math.log2(max(n_all, 1) / SHARD_KEYS)))
+    bits = max(4, math.ceil(math.log2(max(n_all, 1) / SHARD_TOKENS)))
 
-    def answered(name: str, least: int) -> DataFrame:
-        sent = having.mapInArrow(_send(name, bits), "shard long, block long, keys binary, n binary")
+    def answered(name: str) -> DataFrame:
+        sent = having.mapInArrow(_send(name, bits), "shard long, block long, keys array<binary>, n binary")
         return materialize(sent.groupBy("shard").applyInArrow(
-            _add_up(least), "block long, shard long, sums binary, totals array<long>"), f"token-{name}", free=True)
+            _add_up(name, least, bits), "block long, shard long, sums binary, ids binary, totals array<long>"),
+            f"token-{name}", free=True)
 
     def with_answers(name: str, answers: DataFrame) -> DataFrame:
-        one = answers.select("block", "shard", "sums").groupBy("block").applyInArrow(
-            _together, "block long, sums binary")
-        return having.join(one.withColumnRenamed("sums", f"in_{name}").hint("merge"), "block", "left")
+        given = ["sums", "ids"] if name == "words" else ["sums"]
+        one = answers.select("block", "shard", *given).groupBy("block").applyInArrow(
+            _together, ", ".join(["block long", *(f"{c} binary" for c in given)]))
+        one = one.withColumnsRenamed({"sums": f"in_{name}", "ids": "in_ids"})
+        return having.drop("words").join(one.hint("merge"), "block", "left")
 
     having = blocks
-    words = answered("words", 0)
+    words = answered("words")
     n_train, n_types, n_words, inside, once = (
         int(x) for x in words.agg(*[F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)) for i in range(5)]).first())
     having = with_answers("words", words)
     if n_train:
-        for name, least in (("pairs", LEAST), ("triples", LEAST), ("contexts", 0)):
-            having = with_answers(name, answered(name, least))
+        for name in ("pairs", "triples", "contexts"):
+            having = with_answers(name, answered(name))
     rare = n_train - inside
     new = (min(once, rare) + 0.5) / (rare + 1.0)
     n_texts = blocks.select(F.sum(F.size(F.filter("held_out", lambda x: ~x)))).first()[0] or 0
-    facts = {"total": float(n_train + n_types + 1), "train": n_train, "words": n_words, "rare": rare,
+    facts = {"bits": bits, "total": float(n_train + n_types + 1), "train": n_train, "words": n_words, "rare": rare,
              "texts": float(n_texts), "new": math.log10(new), "seen": math.log10((1 - new) / max(rare, 1))}
     return having.mapInArrow(
         _score(facts), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
