@@ -72,6 +72,11 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
 
 
+def _joined(raw: list[bytes]) -> np.ndarray:
+    """Answers of all shards, in their order."""
+    return np.concatenate([_unpack(x) for x in raw])
+
+
 def _pack_keys(columns: list[np.ndarray]) -> list[bytes]:
     """Columns of keys that ascend by the first one, which goes as steps."""
     first, *others = columns
@@ -114,21 +119,22 @@ class Block:
             self._triples(row["in_triples"].as_py())
 
     def shards(self, columns: list[np.ndarray]) -> np.ndarray:
-        return _hash(columns) >> np.uint64(64 - self.bits)
+        """In the fewest bytes each, as small whole numbers sort faster."""
+        return (_hash(columns) >> np.uint64(64 - self.bits)).astype(np.min_scalar_type((1 << self.bits) - 1))
 
-    def answer(self, raw: bytes | None, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def answer(self, raw: list[bytes] | None, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(sum, whether this block is the one that reports it) of each key."""
         out = np.zeros(len(columns[0]), np.int64)
         if len(out):
-            out[np.argsort(self.shards(columns), kind="stable")] = _unpack(raw)
+            out[np.argsort(self.shards(columns), kind="stable")] = _joined(raw)
         return out >> 1, (out & 1) > 0
 
-    def _words(self, raw: bytes, ids: bytes) -> None:
+    def _words(self, raw: list[bytes], ids: list[bytes]) -> None:
         """Local ids: the block's words of the trie by their numbers, the class of all others, the start.
 
         Words lie by their hashes, and so do shards: their answers need no order of their own.
         """
-        self.counts, ids = _unpack(raw) >> 1, _unpack(ids)
+        self.counts, ids = _joined(raw) >> 1, _joined(ids)
         self.known = np.flatnonzero(ids >= FIRST)
         self.known = self.known[np.argsort(ids[self.known])]
         self.rare = len(self.known)
@@ -143,7 +149,7 @@ class Block:
         self.pairs, self.pair_of = np.unique(self.before * self.size + self.w, return_inverse=True)
         self.pair_keys = [self.ids[self.pairs // self.size], self.ids[self.pairs % self.size]]
 
-    def _pairs(self, raw: bytes) -> None:
+    def _pairs(self, raw: list[bytes]) -> None:
         """A trigram can be known only where both of its bigrams are."""
         self.pair_n, self.pair_once = self.answer(raw, self.pair_keys)
         known = (self.pair_n > 0)[self.pair_of]
@@ -153,7 +159,7 @@ class Block:
         pair = self.triples // self.size
         self.triple_keys = [*(k[pair] for k in self.pair_keys), self.ids[self.triples % self.size]]
 
-    def _triples(self, raw: bytes | None) -> None:
+    def _triples(self, raw: list[bytes] | None) -> None:
         """Contexts are words, followed by 0, and known bigrams, the second number one higher."""
         self.triple_n, self.triple_once = self.answer(raw, self.triple_keys)
         first, second = (k[self.pair_n > 0] for k in self.pair_keys)
@@ -232,16 +238,6 @@ def _add_up(name: str, least: int, bits: int):
     return run
 
 
-def _together(answers: pa.Table) -> pa.Table:
-    """One row of a block's answers, in order of the shards."""
-    order = np.argsort(answers.column("shard").to_numpy())
-    out = {"block": answers.column("block").slice(0, 1)}
-    for name in answers.column_names[2:]:
-        raw = answers.column(name).to_pylist()
-        out[name] = pa.array([_pack(np.concatenate([_unpack(raw[i]) for i in order]))], pa.binary())
-    return pa.table(out)
-
-
 def _before(ids: np.ndarray, row: np.ndarray, start: int) -> np.ndarray:
     """The id before each token of its text; the start at a text's first token."""
     out = np.empty_like(ids)
@@ -351,7 +347,7 @@ def _score(facts: dict):
     return run
 
 
-def _score_block(b: Block, raw: bytes | None, facts: dict) -> pa.RecordBatch:
+def _score_block(b: Block, raw: list[bytes] | None, facts: dict) -> pa.RecordBatch:
     n = len(b.n_tokens)
     c = b.counts[b.code]
     base = score = np.log10((c + 1) / facts["total"])
@@ -412,10 +408,9 @@ def score_texts(
             f"token-{name}", free=True)
 
     def with_answers(name: str, answers: DataFrame) -> DataFrame:
-        given = ["sums", "ids"] if name == "words" else ["sums"]
-        one = answers.select("block", "shard", *given).groupBy("block").applyInArrow(
-            _together, ", ".join(["block long", *(f"{c} binary" for c in given)]))
-        one = one.withColumnsRenamed({"sums": f"in_{name}", "ids": "in_ids"})
+        given = {"sums": f"in_{name}"} | ({"ids": "in_ids"} if name == "words" else {})
+        one = answers.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", *given))).alias("all"))
+        one = one.select("block", *[F.col(f"all.{c}").alias(to) for c, to in given.items()])
         return having.drop("words").join(one.hint("merge"), "block", "left")
 
     having = blocks
