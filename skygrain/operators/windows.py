@@ -81,23 +81,30 @@ def join_windows_containing(one: DataFrame, three: DataFrame, six: DataFrame, ke
 def join_windows_within(one: DataFrame, three: DataFrame, six: DataFrame, keys: Sequence[str] = PLACE) -> DataFrame:
     """Each 1-hour row with every 3-hour window ending within 3 hours and every 6-hour window within 6 hours.
 
-    All ends lie on whole hours, so a coarse row is offered once per hour it can match and the range join becomes a
-    left equi-join that spreads over (place, hour).
+    Ends are dealt into blocks of the reach and a coarse row is offered to its own block and the two beside it, so the
+    range join becomes a left equi-join on (place, block). Both sides grow with the readings and Spark sizes an exploded
+    table like its source, so the join is asked to sort and merge: a broadcast would put all offers into the driver.
     """
     out = one
     for h, df in ((3, three), (6, six)):
-        reach = F.expr(f"INTERVAL {h} HOURS")
-        ends = F.sequence(F.col("window_end") - reach, F.col("window_end") + reach, F.expr("INTERVAL 1 HOUR"))
+        seconds = h * 3600
+        block = F.floor(F.unix_seconds(F.col("window_end").cast("timestamp")) / seconds)
         kept = [c for c in df.columns if c.endswith(f"_{h}h")]
         offered = df.select(
-            *keys,
-            F.explode(ends).alias("_end"),
+            *[F.col(k).alias(f"_{k}") for k in keys],
+            F.explode(F.array(block - 1, block, block + 1)).alias("_offered"),
             F.col("window_end").alias(f"end_{h}h"),
             F.col("temp_last").alias(f"temp_last_{h}h"),
             F.col("temp_first").alias(f"temp_first_{h}h"),
             *kept,
         )
-        out = out.withColumn("_end", F.col("window_end")).join(offered, [*keys, "_end"], "left").drop("_end")
+        reach = F.expr(f"INTERVAL {h} HOURS")
+        cond = F.col("_block") == F.col("_offered")
+        for k in keys:
+            cond = cond & (F.col(k) == F.col(f"_{k}"))
+        cond = cond & F.col(f"end_{h}h").between(F.col("window_end") - reach, F.col("window_end") + reach)
+        out = out.withColumn("_block", block).join(offered.hint("merge"), cond, "left").drop(
+            "_block", "_offered", *[f"_{k}" for k in keys])
     return out
 
 

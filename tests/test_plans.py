@@ -70,3 +70,8 @@ def test_scaling_needs_no_join(spark, sf):
     o = observations(spark, sf)
     text = plan(M.minmax_transform(o, M.minmax_fit(o, ["pressure"]), ["pressure"]))
     assert "Join" not in text
+
+
+def test_interval_join_broadcasts_no_offers(spark, sf):
+    text = plan(W.join_windows_within(*W.tumbling_from_hourly(observations(spark, sf))))
+    assert "BroadcastExchange" not in text and text.count("SortMergeJoin") == 2
