@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000  # text that is worked on at once; its arrays take tens of times as much
 
 # ASCII white space that separates words: 0x20 and 0x09 to 0x0D.
 SPACE = np.zeros(256, bool)
