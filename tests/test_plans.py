@@ -75,3 +75,14 @@ def test_scaling_needs_no_join(spark, sf):
 def test_interval_join_broadcasts_no_offers(spark, sf):
     text = plan(W.join_windows_within(*W.tumbling_from_hourly(observations(spark, sf))))
     assert "BroadcastExchange" not in text and text.count("SortMergeJoin") == 2
+
+
+def test_training_rows_take_one_partition_a_core(spark, sf):
+    from skygrain.operators import training
+
+    rows = cleaned_observations(spark, sf).coalesce(1)
+    even = training.training_rows(rows, ["humidity", "pressure"], "temperature")
+    cores = spark.sparkContext.defaultParallelism
+    sizes = [r["count"] for r in even.groupBy(F.spark_partition_id()).count().collect()]
+    assert even.columns == ["humidity", "pressure", "temperature"]
+    assert len(sizes) == cores > 1 and sum(sizes) == rows.count() and max(sizes) - min(sizes) <= cores
