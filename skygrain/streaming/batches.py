@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skygrain.functions import series as S
 from skygrain.functions.values import location_text
 from skygrain.operators.dedup import ACCEPTED, TOLERANCES, flag_unchanged
-from skygrain.operators.features import assemble_features, contract_features, historical_columns, observations_of
+from skygrain.operators.features import assemble_features, contract_features, observations_of, with_history
 from skygrain.plans.skew import ROW_NO, ordered_rows
 from skygrain.sources.contracts import REASON, check_contract, conforms
 from skygrain.sources.streams import as_messages
@@ -67,7 +67,7 @@ def _with_history(rows: DataFrame, kept: DataFrame | None) -> DataFrame:
 
     def build(part: DataFrame, w) -> DataFrame:
         number = F.col(ROW_NO) + F.coalesce(F.col("_earlier"), F.lit(0))
-        return part.withColumns(historical_columns(w)).withColumn("samples", number)
+        return with_history(part, w).withColumn("samples", number)
 
     return ordered_rows(both, PLACE, ORDER, build, S.STREAM_BACK, 0, numbered=True).drop("_earlier")
 

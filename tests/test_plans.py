@@ -86,3 +86,32 @@ def test_training_rows_take_one_partition_a_core(spark, sf):
     sizes = [r["count"] for r in even.groupBy(F.spark_partition_id()).count().collect()]
     assert even.columns == ["humidity", "pressure", "temperature"]
     assert len(sizes) == cores > 1 and sum(sizes) == rows.count() and max(sizes) - min(sizes) <= cores
+
+
+def test_feature_record_aggregates_over_three_rows_only(spark, sf):
+    rows = observations(spark, sf).withColumns({"time_text": F.col("event_time").cast("string"), "forecast": F.array(F.lit(0.0))})
+    whole = "spark.sql.debug.maxToStringFields"
+    spark.conf.set(whole, "10000")
+    text = plan(X.engineer_features(rows, KEY, ORDER))
+    spark.conf.unset(whole)
+    frames = {int(n) for n in re.findall(r"specifiedwindowframe\(RowFrame, -(\d+), currentrow", text)}
+    assert frames == {2} and shuffles(text) == 1 and len(re.findall(r"\bSort \[", text)) == 1
+
+
+def test_merged_frames_equal_whole_ones(spark):
+    from pyspark.sql import Window
+
+    rows = spark.range(300).select(
+        F.col("id"), (F.col("id") % 7).alias("location"),
+        F.when(F.col("id") % 5 != 2, F.round(F.rand(3) * 40, 2)).alias("temperature"),
+        F.when((F.col("id") < 60) | (F.col("id") > 220), (F.col("id") % 90).cast("int")).alias("humidity"),
+        F.lit(7.3).alias("wind_speed"))
+    w = Window.partitionBy("location").orderBy("id")
+    names = list(X.historical_columns(w))
+    ours, whole = (
+        {r["id"]: r for r in df.collect()} for df in (X.with_history(rows, w), rows.withColumns(X.historical_columns(w))))
+    assert set(names) <= set(next(iter(ours.values())).asDict())
+    for key, row in whole.items():
+        for n in names:
+            a, b = ours[key][n], row[n]
+            assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-9), (key, n, a, b)
