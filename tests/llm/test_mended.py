@@ -4,6 +4,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,3 +135,60 @@ def test_mixing_and_packing_queries_place_every_document(spark, sf):
             assert offset >= at
             at = offset + n
         assert at <= packing.CAPACITY
+
+
+def near_copies(groups: int, each: int, noise: float) -> np.ndarray:
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(groups, 64)), each, axis=0)
+    return x + noise * rng.normal(size=x.shape)
+
+
+def test_a_pair_of_vectors_is_compared_once_however_many_buckets_it_shares(spark, monkeypatch):
+    """Near copies share most of their buckets; each shared bucket cost a cosine."""
+    x = near_copies(1, 40, 0.1)
+    found = vectors.all_corners(vectors.levelled(x), 2)
+    rows = [{"rep": i, "copies": 1, "label": 0, "width": 64, "t": s // 4, "code": int(c), "i": 0, "j": 0, "own": int(s % 4 == 0),
+             "block": 0, "vector": x[i].tolist(), "corners": found[i].ravel().tolist()}
+            for i, codes in enumerate(vectors.codes(found, 64)) for s, c in enumerate(codes)]
+    rows.sort(key=lambda r: (r["t"], r["code"]))
+    compared, cosines = [], vectors._cosines
+
+    def counted(unit, a, b):
+        compared.append(len(a))
+        return cosines(unit, a, b)
+
+    monkeypatch.setattr(vectors, "_cosines", counted)
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([("corners", pa.list_(pa.int32())) if n == "corners" else (n, t) for n, t in (
+        ("rep", pa.int64()), ("copies", pa.int64()), ("label", pa.int32()), ("width", pa.int32()), ("t", pa.int32()), ("code", pa.int64()),
+        ("i", pa.int32()), ("j", pa.int32()), ("own", pa.int32()), ("block", pa.int32()), ("vector", pa.list_(pa.float64())), ("corners", None))]))
+    out = [r for b in vectors._compare(0.93, 2)([batch]) for r in b.to_pylist()]
+    assert sum(compared) <= 40 * 39 // 2
+    assert sum(r["n"] for r in out) == 40 * 39
+
+
+def test_vector_buckets_grow_in_number_with_the_table():
+    """Their number was fixed, so unrelated vectors met the more often the more there were."""
+    assert vectors.corners_for(1000, 64) == 2
+    assert vectors.corners_for(100_000, 64) == 3
+    x = np.random.default_rng(4).normal(size=(4000, 64))
+
+    def sharing(k: int) -> int:
+        codes = vectors.codes(vectors.all_corners(vectors.levelled(x), k), 64)
+        n = np.unique(np.arange(codes.shape[1]) // 2**k * (1 << 40) + codes, return_counts=True)[1]
+        return int((n * (n - 1)).sum())
+
+    assert sharing(3) < sharing(2) / 5
+
+
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_vectors_equal_all_pairs_at_any_number_of_corners(spark, monkeypatch, k):
+    monkeypatch.setattr(vectors, "corners_for", lambda rows, width: k)
+    monkeypatch.setattr(vectors, "BLOCK", 20)
+    x = np.concatenate([near_copies(3, 50, 0.1), near_copies(30, 2, 0.15)])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.93
+    table = spark.createDataFrame([(i, v.tolist(), "a") for i, v in enumerate(x)], "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: r for r in vectors.near_vectors(table).collect()}
+    assert [got[i].n_links for i in range(len(x))] == (close.sum(1) - 1).tolist()
+    reach = np.linalg.matrix_power(close.astype(float), 8) > 0
+    assert [got[i].component_id for i in range(len(x))] == reach.argmax(1).tolist()
