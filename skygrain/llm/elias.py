@@ -40,24 +40,18 @@ class EliasFano:
     def __init__(self, parts: dict[str, np.ndarray]):
         self.n, self.low_bits = (int(x) for x in parts["size"])
         self.high, self.ones, self.low = parts["high"], parts["ones"], parts["low"]
-        self.zeros = (np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones).astype(np.int64)
+        self.bytes = self.high.view(np.uint8)
+        within = np.cumsum(_BYTE_ONES[self.bytes].reshape(-1, 8), axis=1, dtype=np.int64)
+        self.ones_before = (self.ones[:-1, None] + within).ravel()
+        self.ones_before = np.concatenate([[0], self.ones_before])[: len(self.bytes)]
+        self.zeros_before = np.arange(len(self.bytes)) * 8 - self.ones_before
 
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         """Position of the k-th (from 0) one or zero among the high bits."""
-        before = self.ones if ones else self.zeros
-        word = np.searchsorted(before, k, "right") - 1
-        left = (k - before[word]).astype(np.int64)
-        value = self.high[word] if ones else ~self.high[word]
-        out = word * 64
-        open_ = np.ones(len(k), bool)
-        for byte in range(8):
-            b = ((value >> np.uint64(8 * byte)) & np.uint64(255)).astype(np.int64)
-            here = _BYTE_ONES[b]
-            hit = open_ & (left < here)
-            out[hit] += 8 * byte + _BYTE_SELECT[b[hit], left[hit]]
-            open_ &= ~hit
-            left -= np.where(open_, here, 0)
-        return out
+        before = self.ones_before if ones else self.zeros_before
+        byte = np.searchsorted(before, k, "right") - 1
+        value = self.bytes[byte] if ones else ~self.bytes[byte]
+        return byte * 8 + _BYTE_SELECT[value, k - before[byte]]
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:

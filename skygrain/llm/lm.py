@@ -322,9 +322,14 @@ class Trie:
     def log(self, name: str, at: np.ndarray) -> np.ndarray:
         return self.arrays[f"{name}.book"][self.arrays[name][at]].astype(np.float64)
 
-    def score(self, w: np.ndarray, before: np.ndarray, fresh: np.ndarray) -> np.ndarray:
-        """log10 of each token given up to two before it; ``fresh`` marks a text's first token."""
-        at, known = self.pairs.find(before * self.size + w)
+    def score(self, w: np.ndarray, before: np.ndarray, fresh: np.ndarray, pair_of: np.ndarray | None = None,
+              triple_of: np.ndarray | None = None) -> np.ndarray:
+        """log10 of each token given up to two before it; ``fresh`` marks a text's first token.
+
+        ``pair_of`` and ``triple_of`` number the bigram of each token, and the trigram of each token where both of its
+        bigrams are known, by their sorted order: each different one is then looked up once.
+        """
+        at, known = _find_once(self.pairs, before * self.size + w, pair_of)
         prev_at, prev_known = np.roll(at, 1), np.roll(known, 1) & ~fresh
         out = np.where(known, 0.0, self.log("b1", before) + self.log("p1", w))
         two = np.flatnonzero(known)
@@ -333,11 +338,21 @@ class Trie:
         out[back] += self.log("b2", prev_at[back])
         both = np.flatnonzero(known & prev_known)
         place = at[both] - self.first[before[both]]
-        third, found = self.third.find(prev_at[both] * self.widest + place)
+        third, found = _find_once(self.third, prev_at[both] * self.widest + place, triple_of)
         out[both[found]] = self.log("p3", third[found])
         return out
 
 
+def _find_once(sequence: elias.EliasFano, keys: np.ndarray, number: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """``find`` of every key, with one search for all keys of the same number."""
+    if number is None or not len(keys):
+        return sequence.find(keys)
+    different = np.empty(number.max() + 1, np.int64)
+    different[number] = keys
+    at, found = sequence.find(different)
+    return at[number], found[number]
+
+
 def _score(facts: dict):
     """Scores of the texts of blocks that have all their answers."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,7 +379,7 @@ def _score_block(b: Block, raw: list[bytes] | None, facts: dict) -> pa.RecordBat
             counts, facts["texts"], b.pairs[kept], b.pair_n[kept].astype(float), triples,
             b.triple_n[known].astype(float), (p1, left[: b.size], left[b.size :])))), b.size)
         inside = np.where(c > 0, np.log10(np.maximum(c, 1)) + facts["seen"], facts["new"])
-        score = trie.score(b.w, b.before, b.fresh) + np.where(b.w == b.rare, inside, 0.0)
+        score = trie.score(b.w, b.before, b.fresh, b.pair_of, b.triple_of) + np.where(b.w == b.rare, inside, 0.0)
     return pa.record_batch({
         "doc_id": b.doc_id.values, "held_out": b.held_out.values, "n_tokens": pa.array(b.n_tokens),
         "n_known": pa.array(np.bincount(b.row[c > 0], minlength=n)),

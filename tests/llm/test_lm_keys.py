@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from skygrain.llm import lm
+from skygrain.llm import elias, lm
 
 NUMBERS = st.integers(0, 2**63 - 1)
 
@@ -40,3 +40,32 @@ def test_words_below_the_least_count_belong_to_the_class_of_others(spark, least)
     unlearned = {r.doc_id: r for r in lm.score_texts(docs, F.col("doc_id") >= 100, least=2 * least + 1).collect()}
     assert got[0].score > unlearned[0].score
     assert [got[i].base_score for i in got] == [unlearned[i].base_score for i in got]
+
+
+def test_each_different_ngram_is_looked_up_once_and_scores_stay(monkeypatch):
+    """Every token searched the trie, however often its n-gram had been searched before."""
+    rng = np.random.default_rng(2)
+    size, words = 6, rng.integers(0, 5, 400)  # five words, the last the class of the others; the start is id 5
+    row = np.repeat(np.arange(40), 10)
+    before = lm._before(words, row, 5)
+    fresh = np.arange(400) % 10 == 0
+    pairs, pair_of, n = np.unique(before * size + words, return_inverse=True, return_counts=True)
+    kept = n >= 13
+    later = 1 + np.flatnonzero(kept[pair_of][1:] & kept[pair_of][:-1] & ~fresh[1:])
+    place = np.cumsum(kept) - 1
+    triples, triple_of, triple_n = np.unique(
+        place[pair_of[later - 1]] * size + words[later], return_inverse=True, return_counts=True)
+    known = triple_n >= 3
+    assert 0 < kept.sum() < len(kept) and 0 < known.sum() < len(known)
+    counts = np.bincount(words, minlength=5).astype(float)
+    trie = lm.Trie(lm.build_trie(counts, 40.0, pairs[kept], n[kept].astype(float), triples[known], triple_n[known].astype(float)), size)
+    one_by_one = trie.score(words, before, fresh)
+    asked, find = [], elias.EliasFano.find
+
+    def counted(self, x):
+        asked.append(len(x))
+        return find(self, x)
+
+    monkeypatch.setattr(elias.EliasFano, "find", counted)
+    assert (trie.score(words, before, fresh, pair_of, triple_of) == one_by_one).all()
+    assert asked == [len(pairs), len(triples)]
