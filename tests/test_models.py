@@ -171,3 +171,19 @@ def test_an_unreadable_model_is_an_error(spark, trained, tmp_path):
         part.write_text("broken")
     with pytest.raises(ValueError, match="Expecting value"):
         store.load_models(spark, str(tmp_path))
+
+
+def test_training_frame_works_its_input_out_once(spark):
+    """The rows of each key are counted before the split, which worked the features out a second time."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(60).selectExpr(
+        "id % 3 AS location", "id AS event_time", "id", "id * 0.5D AS temperature", "id * 1.5D AS target_temperature_1h")
+    done, _ = TR.training_frame(rows.mapInArrow(counted, rows.schema), KEY, ORDER)
+    assert done.count() == 60 and done.filter("is_train").count() == 48
+    assert read.value == 60
