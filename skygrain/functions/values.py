@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Unit spellings, conversion factors, physical limits and change tolerances.
 CELSIUS, KELVIN, FAHRENHEIT = ("°C", "celsius", "C"), ("K", "kelvin"), ("°F", "fahrenheit", "F")
@@ -30,27 +30,33 @@ def to_int(x: Column) -> Column:
     return x.try_cast("int")
 
 
-def convert_temperature(value: Column, unit: Column) -> Column:
-    v = to_float(value)
+def _once(value: Column, convert) -> Column:
+    return convert(value)
+
+
+def convert_temperature(value: Column, unit: Column, apply=_once) -> Column:
+    """Degrees Celsius. ``apply`` (``transform`` for a list) converts each value; the unit is told apart before it."""
     return (
-        F.when(unit.isin(*KELVIN), v - KELVIN_OFFSET)
-        .when(unit.isin(*FAHRENHEIT), (v - 32) * 5 / 9)
-        .otherwise(v)
+        F.when(unit.isin(*KELVIN), apply(value, lambda v: to_float(v) - KELVIN_OFFSET))
+        .when(unit.isin(*FAHRENHEIT), apply(value, lambda v: (to_float(v) - 32) * 5 / 9))
+        .otherwise(apply(value, to_float))
     )
 
 
-def convert_speed(value: Column, unit: Column) -> Column:
-    v = to_float(value)
+def convert_speed(value: Column, unit: Column, apply=_once) -> Column:
     return (
-        F.when(unit.isin(*METRES_PER_SECOND), v * KMH_PER_MS)
-        .when(unit.isin(*MILES_PER_HOUR), v * KMH_PER_MPH)
-        .otherwise(v)
+        F.when(unit.isin(*METRES_PER_SECOND), apply(value, lambda v: to_float(v) * KMH_PER_MS))
+        .when(unit.isin(*MILES_PER_HOUR), apply(value, lambda v: to_float(v) * KMH_PER_MPH))
+        .otherwise(apply(value, to_float))
     )
 
 
-def convert_pressure(value: Column, unit: Column) -> Column:
-    v = to_float(value)
-    return F.when(unit.isin(*PASCAL), v / 100).when(unit.isin(*KILOPASCAL), v * 10).otherwise(v)
+def convert_pressure(value: Column, unit: Column, apply=_once) -> Column:
+    return (
+        F.when(unit.isin(*PASCAL), apply(value, lambda v: to_float(v) / 100))
+        .when(unit.isin(*KILOPASCAL), apply(value, lambda v: to_float(v) * 10))
+        .otherwise(apply(value, to_float))
+    )
 
 
 def completeness(current: str) -> Column:
@@ -73,11 +79,11 @@ def within_limits(value: Column, variable: str) -> Column:
 
 def anomaly_codes(temperature: Column, humidity: Column) -> Column:
     """Ordered list of range errors; the row itself is kept."""
-    return F.array_compact(
-        F.array(
-            F.when(outside(temperature, "temperature"), F.lit("temperature_out_of_range")),
-            F.when(outside(humidity, "humidity"), F.lit("humidity_out_of_range")),
-        )
+    hot, damp = outside(temperature, "temperature"), outside(humidity, "humidity")
+    codes = F.lit("temperature_out_of_range"), F.lit("humidity_out_of_range")
+    return (
+        F.when(hot & damp, F.array(*codes)).when(hot, F.array(codes[0])).when(damp, F.array(codes[1]))
+        .otherwise(F.array().cast(T.ArrayType(T.StringType(), containsNull=False)))
     )
 
 

@@ -5,17 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skygrain.functions import values as V
-from skygrain.sources.contracts import conforms, parse_once
+from skygrain.sources.contracts import conforms, parse_once, parse_plain, parsed_plainly
 from skygrain.sources.schemas import RAW, RAW_REQUIRED_KEYS, UNIT_DEFAULTS, nullable
 
 
 def has_required_keys(value: Column) -> Column:
     """True when the JSON object names every required key; a key with a null value counts as present."""
-    keys = F.json_object_keys(value)
-    present = F.lit(True)
-    for key in RAW_REQUIRED_KEYS:
-        present = present & F.array_contains(keys, key)
-    return F.coalesce(present, F.lit(False))
+    # One expression over the keys: a conjunction of tests would walk through the message once for each of them.
+    missing = F.array_except(F.array(*[F.lit(key) for key in RAW_REQUIRED_KEYS]), F.json_object_keys(value))
+    return F.coalesce(F.size(missing) == 0, F.lit(False))
 
 
 def unit(name: str) -> Column:
@@ -45,20 +43,35 @@ def clean_current() -> Column:
     )
 
 
-def clean_hourly() -> Column:
-    def each(name: str, convert, kind: str) -> Column:
-        done = F.transform(F.col(f"hourly.{name}"), convert)
-        return F.coalesce(done, F.array().cast(f"array<{kind}>")).alias(name)
+def clean_hourly(given: T.StructType | None = None) -> Column:
+    """Lists converted and cast; a list that ``given``, the type of ``hourly``, has as it must be is taken as it is."""
+    def cast(name: str, to: T.DataType):
+        def apply(values: Column, convert) -> Column:
+            typed = given is not None and convert in (V.to_int, V.to_float) and given[name].dataType.elementType == to
+            return values if typed else F.transform(values, convert)
 
+        return apply
+
+    def each(name: str, to: T.DataType, convert) -> Column:
+        done = convert(F.col(f"hourly.{name}"), cast(name, to))
+        return F.coalesce(done, F.array().cast(T.ArrayType(to))).alias(name)
+
+    def whole(values: Column, apply) -> Column:
+        return apply(values, V.to_int)
+
+    def number(values: Column, apply) -> Column:
+        return apply(values, V.to_float)
+
+    d, i = T.DoubleType(), T.IntegerType()
     return F.struct(
         F.coalesce(F.col("hourly.time"), F.array().cast("array<string>")).alias("time"),
-        each("temperature_2m", lambda x: V.convert_temperature(x, unit("temperature_2m")), "double"),
-        each("relative_humidity_2m", V.to_int, "int"),
-        each("precipitation_probability", V.to_int, "int"),
-        each("precipitation", V.to_float, "double"),
-        each("wind_speed_10m", lambda x: V.convert_speed(x, unit("wind_speed_10m")), "double"),
-        each("cloud_cover", V.to_int, "int"),
-        each("pressure_msl", lambda x: V.convert_pressure(x, unit("pressure_msl")), "double"),
+        each("temperature_2m", d, lambda x, apply: V.convert_temperature(x, unit("temperature_2m"), apply)),
+        each("relative_humidity_2m", i, whole),
+        each("precipitation_probability", i, whole),
+        each("precipitation", d, number),
+        each("wind_speed_10m", d, lambda x, apply: V.convert_speed(x, unit("wind_speed_10m"), apply)),
+        each("cloud_cover", i, whole),
+        each("pressure_msl", d, lambda x, apply: V.convert_pressure(x, unit("pressure_msl"), apply)),
     )
 
 
@@ -68,7 +81,7 @@ def normalize(raw: DataFrame) -> DataFrame:
     Columns beyond the raw record (a message key, an offset) are carried along.
     """
     extra = [c for c in raw.columns if c not in RAW.fieldNames()]
-    staged = raw.select("*", clean_current().alias("_current"), clean_hourly().alias("_hourly"))
+    staged = raw.select("*", clean_current().alias("_current"), clean_hourly(raw.schema["hourly"].dataType).alias("_hourly"))
     errors = V.anomaly_codes(F.col("_current.temperature_2m"), F.col("_current.relative_humidity_2m"))
     cleaned = staged.select(
         *extra,
@@ -121,13 +134,16 @@ def parse_raw(messages: DataFrame, value: str = "value") -> DataFrame:
     """Keyed JSON messages to typed raw rows; messages without the required keys are dropped.
 
     Measured values may come as text, and whole numbers with a fraction, which is cut. Coordinates must be numbers.
+    A message whose values all have their contract types is read as such; only the others are read again as variants.
     """
     keep = [c for c in messages.columns if c != value]
     present = messages.filter(has_required_keys(F.col(value)))
     schema = nullable(RAW)
+    plain = parse_plain(present, "_r", schema, value)
     sent = T.StructType([T.StructField(f.name, _as_sent(f.dataType)) if f.name in MEASURED else f for f in schema.fields])
-    parsed = parse_once(present, F.from_json(F.col(value), sent).alias("_r"))
-    typed = parse_once(parsed, *[_measured(F.col(f"_r.{f.name}"), f.dataType).alias(f"_{f.name}")
-                                 for f in schema.fields if f.name in MEASURED])
-    return typed.select(*keep, *[
-        F.col(f"_{f.name}" if f.name in MEASURED else f"_r.{f.name}").alias(f.name) for f in schema.fields])
+    again = ~parsed_plainly("_r")
+    parsed = parse_once(plain, F.when(again, F.from_json(F.col(value), sent)).alias("_s"))
+    typed = parse_once(parsed, *[
+        F.when(again, _measured(F.col(f"_s.{f.name}"), f.dataType) if f.name in MEASURED else F.col(f"_s.{f.name}"))
+        .otherwise(F.col(f"_r.{f.name}")).alias(f"_{f.name}") for f in schema.fields])
+    return typed.select(*keep, *[F.col(f"_{f.name}").alias(f.name) for f in schema.fields])

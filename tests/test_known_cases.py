@@ -162,6 +162,22 @@ def test_numbers_as_text_and_fractions_are_read(spark):
     assert h["temperature_2m"] == [8.4, 8.0, None, None] and h["cloud_cover"] == [90, 60, None]
 
 
+def test_texts_that_look_like_numbers_stay_valid(spark):
+    from skygrain.sources.contracts import check_contract
+
+    odd = [("sensor", None), ("12", None), ("true", None), ("[x", None), ('"q', None), ("a\n-5e3", None), ("NaN", None),
+           (12, "wrong type"), (-5e3, "wrong type"), (True, "wrong type"), (["x"], "wrong type"), ({"a": 1}, "wrong type"),
+           (math.nan, "wrong type"), (math.inf, "wrong type"), (None, "missing field"), (KeyError, "missing field")]
+    rows = messages(spark, *[changed(raw_sample(), metadata__source=v) for v, _ in odd])
+    got = {int(r["key"]): r for r in check_contract(rows, "raw").collect()}
+    assert [got[i]["reject_reason"] for i in range(len(odd))] == [reason for _, reason in odd]
+    assert [got[i]["record"]["metadata"]["source"] for i in range(7)] == [v for v, _ in odd[:7]]
+    lists = [(["2024-01-01T00:00:00"], None), (["2024"], None), ([2024], "wrong type"), ([None], "wrong type"), ([], None)]
+    rows = messages(spark, *[changed(raw_sample(), hourly__time=v) for v, _ in lists])
+    got = {int(r["key"]): r["reject_reason"] for r in check_contract(rows, "raw").collect()}
+    assert [got[i] for i in range(len(lists))] == [reason for _, reason in lists]
+
+
 def test_coordinates_must_be_numbers(spark):
     assert N.normalize(N.parse_raw(messages(spark, changed(raw_sample(), latitude="-41.29")))).count() == 0
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from registry.observations import cleaned_observations
 from registry.views import KEY, ORDER, observations, table
-from skygrain.operators import dataset as D, features as X, monitoring as Q, topics as K, windows as W
+from skygrain.operators import dataset as D, features as X, monitoring as Q, normalize as N, topics as K, windows as W
+from skygrain.sources.contracts import check_contract
 
 
 def plan(df) -> str:
@@ -115,3 +116,15 @@ def test_merged_frames_equal_whole_ones(spark):
         for n in names:
             a, b = ours[key][n], row[n]
             assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-9), (key, n, a, b)
+
+
+def test_plain_messages_are_parsed_without_variants(spark):
+    messages = spark.createDataFrame([("a", "{}")], "key string, value string")
+    raw = plan(N.parse_raw(messages))
+    assert raw.count("jsonObjectKeys") == 1
+    assert len(re.findall(r"CASE WHEN [^{}]{0,80} THEN from_json\(", raw)) == 1 and raw.count("from_json(") == 2
+    checked = plan(check_contract(messages, "cleaned"))
+    assert len(re.findall(r"CASE WHEN NOT _ok#\d+ THEN from_json\(", checked)) == 1 and checked.count("from_json(") == 2
+    converted = plan(N.normalize(N.parse_raw(messages)))
+    assert "transform(_hourly#" in converted  # lists in other units
+    assert not re.search(r"lambdafunction\((lambda \w+#\d+), \1, false\)", converted)  # none that is only copied
