@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from registry.book import ORACLES, query
 from registry.observations import (
@@ -17,7 +18,7 @@ from skygrain.operators import features as X, training
 from skygrain.operators.dedup import TOLERANCES
 from skygrain.operators.features import contract_features
 from skygrain.operators.samples import feature_completeness
-from skygrain.operators.serving import QUANTILES
+from skygrain.operators.serving import LEAVES, QUANTILES, VECTOR
 from skygrain.plans.durable import fresh_path, materialize
 from skygrain.plans.jobs import build_dataset
 from skygrain.sources.contracts import conforms
@@ -176,7 +177,7 @@ def small_forests(spark, sf_dir):
     used = [c for c in full.columns if c in (*KEY, *ORDER, *MODEL_FEATURES) or c.startswith("target_temperature_")]
     full = materialize(full.select(*used), "engineered")
     frame, names = training.training_frame(full, KEY, ORDER)
-    return training.train_all_horizons(frame, names, numTrees=8, maxDepth=4), names, full
+    return training.train_all_horizons(frame, names, numTrees=8, maxDepth=4), names, full, frame
 
 
 @query("serve_replay", with_obs("""SELECT topic, horizon_hours, count(*) AS records, count(DISTINCT id) AS keys, true AS in_order, 1 AS times_made
@@ -186,7 +187,7 @@ def serve_replay(spark, sf_dir):
 
     ``times_made`` counts the different creation times of a key's records in both topics together, per horizon.
     """
-    (models, _), names, _ = small_forests(spark, sf_dir)
+    (models, _), names, _, _ = small_forests(spark, sf_dir)
     store, out, topic = (fresh_path(spark, n) for n in ("models", "predictions", "feature-topic"))
     save_models(spark, models, names, store)
     features = feature_records(spark, sf_dir).drop("location_key").withColumn("id", F.col("id").cast("string"))
@@ -213,21 +214,40 @@ def serve_replay(spark, sf_dir):
         F.max("made").cast("int").alias("times_made"))
 
 
+def same_predictions(rows: DataFrame, models, back) -> DataFrame:
+    """Per horizon whether the loaded model predicts for every row exactly what the saved one predicts."""
+    parts = []
+    for h, model in models.items():
+        before = model.transform(rows).select(*rows.columns, F.col("prediction").alias("predicted"))
+        after = back[h][0].transform(before).drop(VECTOR, LEAVES)
+        parts.append(after.agg(F.every(F.col("predicted").eqNullSafe(F.col("prediction"))).alias("alike"))
+                     .withColumn("horizon", F.lit(f"{h}h")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("metrics_round_trip", """SELECT h || 'h' AS horizon, true AS scored, true AS loaded, 3 AS models
   FROM (VALUES (1), (3), (6)) AS t (h)""")
 def metrics_round_trip(spark, sf_dir):
-    """Models and their scores saved and loaded again: every horizon, the same scores and the same predictions."""
-    (models, scores), names, full = small_forests(spark, sf_dir)
+    """Models and their scores saved and loaded again: every horizon, the same scores and the same predictions.
+
+    Every score of both sides is compared, and the predictions of the loaded models with those of the saved ones, row by row.
+    """
+    (models, scores), names, full, frame = small_forests(spark, sf_dir)
     scores, store = materialize(scores, "scores"), fresh_path(spark, "models")
     save_models(spark, models, names, store)
     save_metrics_json(scores, feature_completeness(full, names), store)
     back = load_models(spark, store)
-    same = all(back[h][1] == names and back[h][0].stages[-1].getNumTrees == m.stages[-1].getNumTrees
-               and back[h][0].stages[-1].totalNumNodes == m.stages[-1].totalNumNodes for h, m in models.items())
+    same = back.keys() == models.keys() and all(
+        back[h][1] == names and back[h][0].stages[-1].getNumTrees == m.stages[-1].getNumTrees
+        and back[h][0].stages[-1].totalNumNodes == m.stages[-1].totalNumNodes for h, m in models.items())
     saved = load_performance(spark, store)
-    close = F.abs(F.col("s.test_mae") - F.col("b.test_mae")) < 1e-9
-    return scores.alias("s").join(saved.alias("b"), F.col("s.horizon") == F.col("b.horizon")).select(
-        "s.horizon", close.alias("scored"), F.lit(same).alias("loaded"), F.lit(len(back)).alias("models"))
+    left, right = ([F.col(f"{side}.{c}") for c in scores.columns if c != "horizon"] for side in "sb")
+    close = reduce(Column.__and__, [
+        F.coalesce(F.abs(x - y) < 1e-9, x.isNull() & y.isNull()) for x, y in zip(left, right)])
+    alike = same_predictions(frame, models, back) if same else scores.select("horizon", F.lit(False).alias("alike"))
+    return scores.alias("s").join(saved.alias("b"), F.col("s.horizon") == F.col("b.horizon")).join(
+        alike.alias("p"), F.col("s.horizon") == F.col("p.horizon")).select(
+        "s.horizon", close.alias("scored"), F.col("p.alike").alias("loaded"), F.lit(len(back)).alias("models"))
 
 
 _OBS_DOUBLES = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in OBSERVED)

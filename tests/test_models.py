@@ -6,6 +6,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from registry import replays
 from registry.learning import frame
 from registry.observations import feature_records
 from registry.views import KEY, ORDER, observations
@@ -187,3 +188,25 @@ def test_training_frame_works_its_input_out_once(spark):
     done, _ = TR.training_frame(rows.mapInArrow(counted, rows.schema), KEY, ORDER)
     assert done.count() == 60 and done.filter("is_train").count() == 48
     assert read.value == 60
+
+
+def test_the_round_trip_notices_other_predictions_and_other_scores(spark, monkeypatch):
+    """Forests of the same shape that predict five degrees more, and a score other than the test error."""
+    rows = spark.range(120).selectExpr(
+        "id % 2 AS location", "id AS event_time", "id", "id * 0.5D AS temperature", "id % 7 + id * 0.25D AS target_temperature_1h",
+        "id % 5 + id * 0.5D AS target_temperature_3h", "id % 3 + id * 1.0D AS target_temperature_6h")
+    frame_, names = TR.training_frame(rows, KEY, ORDER)
+    models, scores = TR.train_all_horizons(frame_, names, numTrees=3, maxDepth=3)
+    warmer = frame_.withColumns({c: F.col(c) + 5 for c in frame_.columns if c.startswith("target")})
+    others, _ = TR.train_all_horizons(warmer, names, numTrees=3, maxDepth=3)
+    monkeypatch.setattr(replays, "small_forests", lambda *_: ((models, scores), names, rows, frame_))
+    facts = lambda: {tuple(r) for r in replays.metrics_round_trip(spark, "").collect()}
+    assert facts() == {(f"{h}h", True, True, 3) for h in models}
+    load_performance_ = replays.load_performance
+    monkeypatch.setattr(replays, "load_performance", lambda *a: load_performance_(*a).withColumn("train_r2", F.col("train_r2") / 2))
+    assert {f[1:3] for f in facts()} == {(False, True)}
+    monkeypatch.setattr(replays, "load_performance", load_performance_)
+    load = replays.load_models
+    monkeypatch.setattr(replays, "load_models", lambda *a: {h: (others[h], n) for h, (_, n) in load(*a).items()})
+    assert {h: m.stages[-1].totalNumNodes for h, m in others.items()} == {h: m.stages[-1].totalNumNodes for h, m in models.items()}
+    assert {f[1:3] for f in facts()} == {(True, False)}
