@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from skygrain.plans.durable import materialize
+from skygrain.plans.durable import materialize, shuffled
 
 
 def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
@@ -12,7 +12,8 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
 
     Each round passes the least label to neighbours and to the neighbours' old labels, then follows labels twice, so
     that chains halve. Every round is written to the shared folder. All reductions are minima, which Spark combines
-    before each shuffle; the joins leave a hot node's rows to Spark's skew splitting.
+    before each shuffle; the joins leave a hot node's rows to Spark's skew splitting. No table is broadcast: they grow with
+    the edges.
     """
     both = materialize(
         edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
@@ -25,16 +26,16 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     )
     labels = materialize(labels, "labels")
     while True:
-        heard = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("heard"))
-        told = labels.join(heard, labels["node"] == heard["a"]).select(
+        heard = both.join(shuffled(labels), both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("heard"))
+        told = labels.join(shuffled(heard), labels["node"] == heard["a"]).select(
             "node", "component", F.least("component", "heard").alias("new")
         )
         offers = told.select("node", "new").unionByName(told.select(F.col("component").alias("node"), "new"))
         hooked = offers.groupBy("node").agg(F.min("new").alias("up"))
         above = hooked.select(F.col("node").alias("up"), F.col("up").alias("upper"))
-        jumped = hooked.join(above, "up").select("node", F.least("up", "upper").alias("component"))
+        jumped = hooked.join(shuffled(above), "up").select("node", F.least("up", "upper").alias("component"))
         after = materialize(
-            jumped.join(labels.select("node", F.col("component").alias("old")), "node"), "labels"
+            jumped.join(shuffled(labels.select("node", F.col("component").alias("old"))), "node"), "labels"
         )
         moved = after.filter("component <> old").limit(1).count()
         labels = after.select("node", "component")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from skygrain.llm import texts
 from skygrain.llm.links import components
-from skygrain.plans.durable import materialize
+from skygrain.plans.durable import materialize, shuffled
 
 BANDS, ROWS = 40, 6  # a pair at similarity 0.8 shares no band with a chance of (1 - 0.8**6)**40 = 5e-6
 PERMUTATIONS = BANDS * ROWS // 2  # each gives a minimum and a maximum
@@ -235,13 +235,12 @@ def _large_groups(members: DataFrame, percent: int) -> DataFrame:
     by block. The Jaccard distance is a metric: two linked members of different clusters imply that each lies within
     twice the limit of the other's pivot. So a member is settled once it is linked to a pivot and all pivots within
     twice the limit belong to its own cluster, or once it has been a pivot itself. Unsettled members become pivots,
-    round by round; a round costs (pivots x members), and groups of near copies settle in one or two.
+    round by round; a round costs (pivots x members), and groups of near copies settle in one or two. What a round
+    knows is written, so the plans that the driver holds do not grow from round to round.
     """
-    spark = members.sparkSession
     schema = "component long, doc_id long, pivot_id long, member boolean, near array<long>"
     blocks = members.select("component", "block").distinct()
-    links = near = None
-    done = None
+    cluster = near = done = None
     todo = members.select("component", "doc_id")
     count = FIRST_PIVOTS
     while True:
@@ -249,7 +248,7 @@ def _large_groups(members: DataFrame, percent: int) -> DataFrame:
         pivots = materialize(
             todo.select("component", "doc_id", rank.alias("r")).filter(F.col("r") <= count).drop("r"), "pivots"
         )
-        done = pivots if done is None else done.unionByName(pivots)
+        done = pivots if done is None else materialize(done.unionByName(pivots), "pivots-so-far")
         side = (
             members.join(pivots, ["component", "doc_id"]).select("component", "doc_id", "shingles")
             .join(blocks, "component")
@@ -261,34 +260,39 @@ def _large_groups(members: DataFrame, percent: int) -> DataFrame:
             .repartition("component", "block")
             .sortWithinPartitions("component", "block")
             .mapInArrow(_pivot_blocks(percent), schema),
-            "pivot-links",
+            "pivot-links", free=True,
         )
-        new = compared.filter("pivot_id is not null and pivot_id <> doc_id").select(
+        links = compared.filter("pivot_id is not null and pivot_id <> doc_id").select(
             F.col("doc_id").alias("a"), F.col("pivot_id").alias("b")
         )
-        links = new if links is None else links.unionByName(new)
-        close = compared.filter("member").select("component", "doc_id", F.explode("near").alias("pivot_id"))
-        near = close if near is None else near.unionByName(close)
+        if cluster is not None:  # the clusters so far stand for all links of earlier rounds
+            links = links.unionByName(cluster.filter("node <> component").select(
+                F.col("node").alias("a"), F.col("component").alias("b")))
         cluster = components(links)
         own = members.select("component", "doc_id").join(
-            cluster.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id", "left"
+            shuffled(cluster.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster")), "doc_id", "left"
         )
         others = cluster.select(F.col("node").alias("pivot_id"), F.col("component").alias("pivot_cluster"))
         # Only where the pivots of a group are not all in one cluster can a member lie between two.
-        split = done.join(others, done["doc_id"] == others["pivot_id"], "left").groupBy("component").agg(
+        split = done.join(shuffled(others), done["doc_id"] == others["pivot_id"], "left").groupBy("component").agg(
             F.min(F.coalesce("pivot_cluster", "doc_id")).alias("low"),
             F.max(F.coalesce("pivot_cluster", "doc_id")).alias("high"),
         ).filter("low <> high").select("component")
-        border = (
-            near.join(split, "component", "left_semi").join(own.drop("component"), "doc_id").join(others, "pivot_id", "left")
+        close = compared.filter("member").select("component", "doc_id", F.explode("near").alias("pivot_id"))
+        near = close if near is None else near.unionByName(close)
+        # Clusters only ever merge, so a pair inside one is settled for good and need not be kept.
+        near = materialize(
+            near.join(split, "component", "left_semi").join(shuffled(own.drop("component")), "doc_id")
+            .join(shuffled(others), "pivot_id", "left")
             .filter(~F.coalesce(F.col("cluster"), F.col("doc_id")).eqNullSafe(
                 F.coalesce(F.col("pivot_cluster"), F.col("pivot_id"))))
-            .select("doc_id").distinct()
+            .select("component", "doc_id", "pivot_id"),
+            "between-clusters",
         )
-        open_ones = own.filter("cluster is null").select("doc_id").unionByName(border).distinct()
+        open_ones = own.filter("cluster is null").select("doc_id").unionByName(near.select("doc_id")).distinct()
         todo = materialize(
-            own.select("component", "doc_id").join(open_ones, "doc_id", "left_semi")
-            .join(done, ["component", "doc_id"], "left_anti"),
+            own.select("component", "doc_id").join(shuffled(open_ones), "doc_id", "left_semi")
+            .join(shuffled(done), ["component", "doc_id"], "left_anti"),
             "unsettled",
         )
         if todo.isEmpty():
@@ -309,7 +313,8 @@ def near_duplicates(
     Documents with equal sets (same 128-bit digest of the whole sorted set) form one class, and only the class's least
     id goes on. Each band bucket points its members at its least member; the components of these pointers bound where
     links can be. Within them all links are confirmed on full sets: small ones whole in one task, large ones by
-    ``_large_groups``. No bucket or group is cut off.
+    ``_large_groups``. No bucket or group is cut off. Tables that grow with the documents are joined by sorting, so that
+    the driver's memory does not grow with them; Spark may broadcast the pivots and blocks of large groups only.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = materialize(
@@ -319,20 +324,20 @@ def near_duplicates(
         signed.filter("content is not null and doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("rep"))
     )
     reps = classes.select(F.col("rep").alias("doc_id"), "content")
-    each = signed.join(reps, ["doc_id", "content"], "left_semi").select(
+    each = signed.join(shuffled(reps), ["doc_id", "content"], "left_semi").select(
         "doc_id", F.explode("bands").alias("key")
     )
     buckets = each.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     buckets = buckets.filter("first < last").select("key", "first")
-    firsts = each.join(buckets, "key").groupBy("doc_id").agg(F.collect_set("first").alias("firsts"))  # at most BANDS
+    firsts = each.join(shuffled(buckets), "key").groupBy("doc_id").agg(F.collect_set("first").alias("firsts"))  # at most BANDS
     # A document hangs on its least bucket head, and so do its other heads: few edges even in a large group.
     head = firsts.select(
         F.array_min("firsts").alias("a"), F.explode(F.array_union("firsts", F.array("doc_id"))).alias("b"))
     groups = components(head.filter("a <> b").distinct())
-    sizes = signed.select("doc_id", "n_shingles").join(groups, F.col("doc_id") == F.col("node")).groupBy(
+    sizes = signed.select("doc_id", "n_shingles").join(shuffled(groups), F.col("doc_id") == F.col("node")).groupBy(
         "component").agg(F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("shingles"))
     grouped = materialize(
-        groups.join(sizes, "component").select(
+        groups.join(shuffled(sizes), "component").select(
             F.col("node").alias("doc_id"), "component",
             F.when((F.col("members") <= SMALL_GROUP) & (F.col("shingles") <= SMALL_SHINGLES), 0).otherwise(
                 F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
@@ -340,7 +345,7 @@ def near_duplicates(
         ),
         "candidate-groups",
     )
-    candidates = base.join(grouped, "doc_id")
+    candidates = base.join(shuffled(grouped), "doc_id")
     small = (
         candidates.filter("blocks = 0").select("component", "doc_id", "text")
         .repartition("component").sortWithinPartitions("component", "doc_id")
@@ -351,15 +356,15 @@ def near_duplicates(
         whole = candidates.filter("blocks > 0").select("component", "doc_id", "text").mapInArrow(
             _sets(width), "component long, doc_id long, shingles binary").filter("length(shingles) > 0")
         placed = whole.join(
-            grouped.filter("blocks > 0").select("doc_id", "blocks"), "doc_id"
+            shuffled(grouped.filter("blocks > 0").select("doc_id", "blocks")), "doc_id"
         ).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-        members = materialize(placed.select("component", "block", "doc_id", "shingles"), "group-members")
+        members = materialize(placed.select("component", "block", "doc_id", "shingles"), "group-members", free=True)
         linked = linked.unionByName(_large_groups(members, percent))
     label = linked.groupBy("doc_id").agg(F.min("linked_to").alias("linked_to"))
-    named = classes.join(label, classes["rep"] == label["doc_id"], "left").select(
+    named = classes.join(shuffled(label), classes["rep"] == label["doc_id"], "left").select(
         "content", F.coalesce("linked_to", "rep").alias("component_id")
     )
-    out = signed.select("doc_id", "n_shingles", "content").join(named, "content", "left").select(
+    out = signed.select("doc_id", "n_shingles", "content").join(shuffled(named), "content", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
@@ -369,4 +374,4 @@ def near_duplicates(
 def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one document of each group."""
     lost = near_duplicates(docs, width=width, percent=percent).filter("not kept").select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti")
+    return docs.join(shuffled(lost), "doc_id", "left_anti")
