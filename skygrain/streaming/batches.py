@@ -44,7 +44,7 @@ def _read(ledger: Ledger, number: int, batch: DataFrame) -> DataFrame:
     if not ledger.done("read", number):
         seen = Observation()
         valid = _arrived(batch).observe(seen, *read_counts()).filter(F.col(REASON).isNull()).drop(REASON)
-        valid.write.mode("overwrite").parquet(ledger.path("rows", number))
+        valid.write.mode("overwrite").option("compression", "zstd").parquet(ledger.path("rows", number))
         ledger.note("read", number, seen.get)
     return ledger.spark.read.parquet(ledger.path("rows", number))
 
@@ -85,8 +85,8 @@ def feature_batches(ledger: Ledger, sink: Sink, dedup: bool = True):
 
     Rows of a batch are taken in event-time order, batches in order of arrival. A batch leaves its counts (messages,
     undecodable, invalid, processed, duplicates), its records, which go to ``sink`` once, and the rows that the next
-    batch looks back to. A repeated batch goes on behind its last finished step. Tables of earlier batches are deleted
-    when the batch is finished; counts stay.
+    batch looks back to. A repeated batch goes on behind its last finished step. A table is deleted once the steps that
+    read it are done, and the messages and kept rows of earlier batches when the batch is finished; counts stay.
     """
 
     def run(batch: DataFrame, number: int) -> None:
@@ -94,20 +94,23 @@ def feature_batches(ledger: Ledger, sink: Sink, dedup: bool = True):
             return
         earlier = [n for n in ledger.numbers("state") if n < number]
         kept = ledger.spark.read.parquet(ledger.path("state", earlier[-1])) if earlier else None
-        rows = _read(ledger, number, batch)
-        flagged = ledger.table("flagged", number, lambda: _accepted(rows, kept, dedup))
-        featured = ledger.table("featured", number, lambda: _with_history(flagged.filter(ACCEPTED).drop(ACCEPTED), kept))
-        ledger.table("state", number, lambda: _to_keep(featured))
-        records = contract_features(assemble_features(featured.filter("_fresh = 1")).drop(*PLACE))
-        messages = ledger.table("messages", number, lambda: as_messages(
-            conforms(records.withColumnRenamed("id", "key"), "features")))
+        # Each table asks for the one before it only if it is not there yet, so that one may be gone by then.
+        flagged = lambda: ledger.table("flagged", number, lambda: _accepted(_read(ledger, number, batch), kept, dedup))
         if not ledger.done("counts", number):
+            kinds = flagged().agg(F.count_if(ACCEPTED).alias("processed"), F.count_if(~F.col(ACCEPTED)).alias("duplicates"))
             read = ledger.notes("read", FACTS[:3]).filter(F.col("batch") == number).first().asDict()
-            kinds = flagged.agg(F.count_if(ACCEPTED).alias("processed"), F.count_if(~F.col(ACCEPTED)).alias("duplicates"))
             facts = read | kinds.first().asDict()
             ledger.note("counts", number, {f: facts[f] for f in FACTS})
+        ledger.forget("rows", number + 1)
+        featured = lambda: ledger.table("featured", number, lambda: _with_history(
+            flagged().filter(ACCEPTED).drop(ACCEPTED), kept))
+        ledger.table("state", number, lambda: _to_keep(featured()))
+        ledger.forget("flagged", number + 1)
+        messages = ledger.table("messages", number, lambda: as_messages(conforms(contract_features(assemble_features(
+            featured().filter("_fresh = 1")).drop(*PLACE)).withColumnRenamed("id", "key"), "features")))
+        ledger.forget("featured", number + 1)
         ledger.once("published", number, lambda: sink(messages, "features", number))
-        for step in ("rows", "flagged", "featured", "messages", "state"):
+        for step in ("messages", "state"):
             ledger.forget(step, number)
 
     return run

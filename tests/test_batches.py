@@ -178,3 +178,28 @@ def test_a_forgotten_step_is_gone_and_a_broken_one_is_written_again(spark, tmp_p
     assert ledger.table("step", 0, lambda: rows).count() == 5 and ledger.table("step", 1, lambda: rows).count() == 3
     ledger.forget("step", 1)
     assert ledger.numbers("step") == [1]
+
+
+def test_a_finished_batch_keeps_its_messages_and_state_only(spark, tmp_path, monkeypatch):
+    """A batch that failed after it gave up its first tables goes on without them, and without reading its messages again."""
+    rows = readings(spark, 60)
+    topic = as_topic(rows).drop("part")
+    sink, ledger = Kept(), Ledger(spark, f"{tmp_path}/ledger")
+    plain, broken = ledger.table, []
+
+    def table(name, *a):
+        if name == "messages" and not broken:
+            broken.append({n: ledger.numbers(n) for n in ("rows", "flagged", "featured", "state")})
+            raise ConnectionError(name)
+        return plain(name, *a)
+
+    monkeypatch.setattr(ledger, "table", table)
+    run = batches.feature_batches(ledger, sink)
+    with pytest.raises(ConnectionError):
+        run(topic, 0)
+    assert broken == [{"rows": [], "flagged": [], "featured": [0], "state": [0]}]
+    run(topic.limit(0), 0)
+    assert_same_rows(values_of(sink.calls, spark), expected(rows), ["id"])
+    assert {n: ledger.numbers(n) for n in ("rows", "flagged", "featured", "messages", "state")} == {
+        "rows": [], "flagged": [], "featured": [], "messages": [0], "state": [0]}
+    assert ledger.notes("counts", batches.FACTS).first()["messages"] == 60
