@@ -13,7 +13,7 @@ from skygrain.operators.filters import physical_range_filter
 from skygrain.operators.samples import feature_completeness
 from skygrain.operators.topics import bounded_read
 from skygrain.operators.training import train_all_horizons, training_frame
-from skygrain.plans.durable import materialize
+from skygrain.plans.durable import fresh_path, freed, remove
 from skygrain.sources.models import save_models
 from skygrain.sources.schemas import OBSERVED
 from skygrain.sources.tables import PARQUET_NAME, load_existing, save_dataset, save_metrics_json
@@ -46,14 +46,20 @@ def _saved(spark: SparkSession, folder: str) -> DataFrame:
 def _finish(records: DataFrame, output: str, horizon: int, existing: str | None) -> tuple[str, DataFrame]:
     spark = records.sparkSession
     # Written once: the checks and the merge below must not parse the messages again.
-    new = materialize(D.build_dataset_frame(records.select("record.*")), "dataset")
+    path, frame = fresh_path(spark, "dataset"), D.build_dataset_frame(records.select("record.*"))
+    with freed(spark):
+        frame.write.option("compression", "zstd").parquet(path)
+    new = spark.read.schema(frame.schema).parquet(path)
     if new.isEmpty():
+        remove(spark, path)
         raise ValueError("no valid feature message to build a dataset from")
     old = load_existing(spark, f"{existing}/{PARQUET_NAME}") if existing else None
     merged = D.merge_datasets(old, new, tie=PLACE)
     done = D.add_target(merged, horizon, PLACE, ["timestamp", *OBSERVED])
     folder = f"{output.rstrip('/')}/{uuid.uuid4().hex}"
-    save_dataset(done, folder)
+    with freed(spark):
+        save_dataset(done, folder)
+    remove(spark, path)
     saved = _saved(spark, folder)
     report = D.target_validity(saved, f"target_temperature_horizon_{horizon}h")
     return folder, report.withColumn(
