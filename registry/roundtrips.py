@@ -12,7 +12,9 @@ from skygrain.operators.filters import select_available
 from skygrain.plans.durable import fresh_path
 from skygrain.sources import tables
 from skygrain.sources.schemas import OBSERVED
-from skygrain.sources.streams import as_messages, declare_streams, read_topic, read_topic_table, valid_records, write_topic
+from skygrain.sources.streams import (
+    as_messages, declare_streams, land, read_topic, read_topic_table, valid_records, write_topic,
+)
 from skygrain.streaming import chain
 
 
@@ -21,7 +23,7 @@ def raw_topic(spark, sf_dir) -> str:
     sound = as_messages(raw_records(spark, sf_dir).drop("location").withColumnRenamed("id", "key"))
     bad = spark.createDataFrame([("bad", '{"latitude":1}'), ("worse", "not json")], "key STRING, value STRING")
     path = fresh_path(spark, "raw-topic")
-    sound.select(F.col("key").cast("string"), "value").unionByName(bad).write.json(path)
+    land(sound.select(F.col("key").cast("string"), "value").unionByName(bad), path)
     return path
 
 
